@@ -45,7 +45,7 @@ def scan_battles(spark, sf):
         F.coalesce(F.size("conversation_a"), F.lit(-1)).alias("turns_a"),
         F.coalesce(F.size("conversation_b"), F.lit(-1)).alias("turns_b"),
         F.size(F.map_entries("category_tag")).alias("tags"),
-        F.unix_micros("timestamp").alias("micros"),
+        X.wall_micros("timestamp").alias("micros"),
     )
 
 
@@ -318,7 +318,7 @@ def pair_count(spark, sf):
 )
 def curate_eligible(spark, sf):
     rows = prepare.eligible_rows(V.battles(spark, sf))
-    return rows.withColumn("micros", F.unix_micros("timestamp")).drop("timestamp")
+    return rows.withColumn("micros", X.wall_micros("timestamp")).drop("timestamp")
 
 
 @query(
@@ -331,4 +331,4 @@ def curate_eligible(spark, sf):
 )
 def curate_query(spark, sf):
     rows = prepare.curated_rows(V.battles(spark, sf), 2000, 10)
-    return rows.withColumn("micros", F.unix_micros("timestamp")).drop("timestamp")
+    return rows.withColumn("micros", X.wall_micros("timestamp")).drop("timestamp")

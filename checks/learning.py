@@ -1 +1,158 @@
-"""placeholder"""
+"""Fitted models and what they use.
+
+Fits have no SQL twin; they run on all rows, with the quick settings.  Term and token reports are
+checked on a weight table that SQL can build.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stylograph.functions import patterns as P
+from stylograph.functions import text as X
+from stylograph.functions.style import style_features
+from stylograph.operators import clean, evaluate, explain, learn
+from stylograph.plans import experiments as E
+from stylograph.session import materialize, new_path
+
+from . import views as V
+from .registry import query
+from .text import sql_word_tokens
+
+MODES = ["input", "output", "both"]
+
+
+def _grid(spark, name: str) -> E.Grid:
+    return E.Grid(new_path(spark, name), settings=E.QUICK)
+
+
+def _processed(spark, sf):
+    """Cleaned and split rows, written once: fits, fingerprints and scores all read them."""
+    rows = clean.assign_split(V.cleaned(spark, sf))
+    return materialize(clean.matched_pair(rows, "row_id"), "processed")
+
+
+def _scores(preds, labels=P.FAMILIES, by=("test_set",)):
+    return evaluate.metrics(preds.withColumnRenamed("kind", "model"), labels, list(by))
+
+
+@query("fit_linear_text")
+def fit_linear_text(spark, sf):
+    train, val, test = E.split_parts(_processed(spark, sf))
+    clf = learn.fit_linear_text(train, P.FAMILIES, "output", max_iter=E.QUICK.max_iter)
+    return _scores(learn.score(clf, {"val": val, "test": test}))
+
+
+@query("fit_style_trees")
+def fit_style_trees(spark, sf):
+    train, _, test = E.split_parts(_processed(spark, sf))
+    clf = learn.fit_style_trees(train, P.FAMILIES, rounds=E.QUICK.style_rounds, depth=E.QUICK.depth)
+    return _scores(learn.score(clf, {"test": test}))
+
+
+@query("fit_time_trees")
+def fit_time_trees(spark, sf):
+    train, _, test = E.split_parts(_processed(spark, sf))
+    clf = learn.fit_time_trees(train, P.FAMILIES, rounds=E.QUICK.time_rounds, depth=E.QUICK.depth)
+    return _scores(learn.score(clf, {"test": test}))
+
+
+@query("predict_batch")
+def predict_batch(spark, sf):
+    train, _, test = E.split_parts(_processed(spark, sf))
+    clf = learn.fit_linear_text(train, P.FAMILIES, "input", max_iter=E.QUICK.max_iter)
+    preds = learn.score(clf, {"test": test})
+    return preds.withColumn("probs", F.to_json("probs"))
+
+
+@query("experiment_grid")
+def experiment_grid(spark, sf):
+    grid, rows = _grid(spark, "grid"), _processed(spark, sf)
+    train, _, test = E.split_parts(rows)
+    todo = [*[E.Run("linear", m) for m in MODES], *[E.Run("style", seed=s) for s in (0, 1)]]
+    preds = E.experiment_grid(grid, todo, train, {"test": test})
+    return evaluate.metrics(preds, P.FAMILIES, ["kind", "field", "variant", "seed", "test_set"])
+
+
+@query("compare_fields")
+def compare_fields(spark, sf):
+    return E.compare_fields(_grid(spark, "fields"), _processed(spark, sf))["accuracy"]
+
+
+@query("transfer_eval")
+def transfer_eval(spark, sf):
+    preds = E.transfer_eval(_grid(spark, "transfer"), _processed(spark, sf), ["code", "math"])
+    return evaluate.accuracy_n(preds, ["domain", "condition"])
+
+
+@query("test_time_ablation")
+def test_time_ablation(spark, sf):
+    grid, rows = _grid(spark, "ablation"), _processed(spark, sf)
+    train, _, test = E.split_parts(rows)
+    return E.test_time_ablation(grid, E.fit(grid, E.Run("linear"), train), test)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf):
+    grid, rows = _grid(spark, "importance"), _processed(spark, sf)
+    train, _, test = E.split_parts(rows)
+    clf = E.fit(grid, E.Run("style"), train)
+    features = style_features(test.select("row_id", "family", "output"))
+    return explain.permutation_importance(clf, features, "row_id")
+
+
+@query("top_class_terms_fitted")
+def top_class_terms_fitted(spark, sf):
+    return E.explain_terms(_grid(spark, "terms"), _processed(spark, sf), "input", 12)
+
+
+# ---- reports over weight tables -----------------------------------------------------------------
+
+# Share of a token's uses that fall in texts of a family.
+SQL_WEIGHTS = f"""tokens AS (SELECT row_id, family AS label, unnest({sql_word_tokens('output')}[1:400]) AS token FROM answers),
+  weights AS (SELECT label, token, count(*) / any_value(n) AS weight
+    FROM tokens JOIN (SELECT token, count(*) AS n FROM tokens GROUP BY token) USING (token) GROUP BY label, token)"""
+
+
+def _weights(rows):
+    tokens = F.slice(X.word_tokens("output"), 1, 400)
+    counts = rows.select(F.col("family").alias("label"), F.explode(tokens).alias("token"))
+    counts = counts.groupBy("label", "token").agg(F.count("*").alias("_n"))
+    totals = counts.groupBy("token").agg(F.sum("_n").alias("_all"))
+    return counts.join(totals, "token").select("label", "token", (F.col("_n") / F.col("_all")).alias("weight"))
+
+
+@query(
+    "top_class_terms",
+    f"""WITH {V.ANSWERS}, {SQL_WEIGHTS} SELECT label, token AS term, weight,
+      CAST(row_number() OVER (PARTITION BY label ORDER BY weight DESC, token) AS INT) AS rank FROM weights QUALIFY rank <= 20""",
+)
+def top_class_terms(spark, sf):
+    weights = _weights(V.answers(spark, sf)).withColumnRenamed("token", "term")
+    return explain.top_class_terms(weights, 20)
+
+
+@query(
+    "token_saliency",
+    f"""WITH {V.ANSWERS}, {SQL_WEIGHTS},
+      hits AS (SELECT row_id, label, token, count(*) AS hits FROM tokens GROUP BY ALL),
+      w AS (SELECT *, sum(hits * weight) OVER (PARTITION BY row_id) AS mass, sum(hits) OVER (PARTITION BY row_id) AS len
+        FROM hits JOIN weights USING (label, token)),
+      s AS (SELECT label, token, CAST(sum(hits) AS BIGINT) AS hits, sum(hits * weight * len / mass) / sum(hits) AS s FROM w
+        GROUP BY ALL HAVING sum(hits) >= 30)
+    SELECT label, token, hits, round_even(s * 100, 0) / 100 AS saliency,
+      CAST(row_number() OVER (PARTITION BY label ORDER BY round(s, 9) DESC, token) AS INT) AS rank FROM s QUALIFY rank <= 15""",
+)
+def token_saliency(spark, sf):
+    rows = V.answers(spark, sf).select("row_id", "family", "output")
+    return explain.token_saliency(rows, _weights(rows), "row_id")
+
+
+@query("token_saliency_fitted")
+def token_saliency_fitted(spark, sf):
+    rows = _processed(spark, sf)
+    train, _, test = E.split_parts(rows)
+    clf = learn.fit_linear_text(train, P.FAMILIES, "output", max_iter=E.QUICK.max_iter)
+    weights = explain.coefficient_table(clf).filter("block = 'word'")
+    positive = weights.select("label", F.col("term").alias("token"), F.greatest("weight", F.lit(0.0)).alias("weight"))
+    return explain.token_saliency(test, positive, "row_id", min_count=5)

@@ -14,6 +14,7 @@ from stylograph.functions import patterns as P
 from stylograph.functions import text as X
 from stylograph.functions.hashing import bucket, content_key
 from stylograph.operators import clean
+from stylograph.sources.tables import spread
 
 MODELS = [
     "gpt-4.1", "claude-opus-4-thinking-16k", "gemini-2.5-pro", "Llama-4-scout", "qwen3-235b-a22b",
@@ -146,14 +147,14 @@ def sql_row_digest(*cols: str) -> str:
 
 
 def answers(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
     events = table(spark, sf, "events").select("event_id", "ts")
     rows = docs.join(events, docs.doc_id == events.event_id)
     model = _pick(MODELS, _source_no() % len(MODELS))
     rows = rows.select(
         F.col("doc_id").alias("row_id"),
         model.alias("model"),
-        _pick(DOMAINS, _source_no() % 4).alias("domain"),
+        _pick(DOMAINS, F.expr("(doc_id div 80) % 4")).alias("domain"),
         F.col("ts").alias("timestamp"),
         prompt(F.col("text")).alias("input"),
         dressed(F.expr("substring(text, 61)")).alias("output"),
@@ -168,7 +169,7 @@ ANSWERS = f"""answers AS (
   SELECT *, substr(md5(input), 1, 16) AS prompt_id, {sql_reasoning('model')} AS is_reasoning
   FROM (
     SELECT doc_id AS row_id, {sql_model()} AS model, {sql_family(sql_model())} AS family,
-      {sql_list(DOMAINS)}[CAST(substr(source, 4) AS INT) % 4 + 1] AS domain, ts AS timestamp,
+      {sql_list(DOMAINS)}[(doc_id // 80) % 4 + 1] AS domain, ts AS timestamp,
       {sql_prompt('text')} AS input, {sql_dressed('substr(text, 61)')} AS output
     FROM documents JOIN events ON event_id = doc_id
   ) WHERE family IS NOT NULL
@@ -217,7 +218,7 @@ SPLIT_CASE = (
 
 
 def battles(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     events = table(spark, sf, "events").select(F.col("event_id").alias("k"), "ts")
     side_b = docs.select(
         (F.col("doc_id") - 1).alias("k"), F.col("source").alias("source_b"),

@@ -38,6 +38,22 @@ NAME_PATTERNS = {
 }
 MASK = "[MODEL]"
 
+# Plain pieces of which every name above holds at least one, when lower-cased.  Searching for them
+# is many times cheaper than the patterns; frequent pieces carry a pattern that confirms the find.
+NAME_STEMS = {
+    "gpt": None,
+    "open": r"open\s?ai",
+    "o1": r"\bo1", "o3": r"\bo3", "o4": r"\bo4",
+    "claude": None, "anthropic": None,
+    "gemini": None, "bard": r"\bbard\b", "deep": r"deepmind|deep\s?seek",
+    "llama": None, "meta": r"meta\s+ai",
+    "qwen": None, "qwq": None, "tongyi": None, "alibaba": None,
+    "mistral": None, "magistral": None, "chat": r"le\s+chat",
+    "grok": None, "xai": None, "x.ai": None,
+}
+# Letters outside ASCII that case-blind matching takes for i, s or k.
+ODD_CASE_LETTERS = ["İ", "ı", "ſ", "\u212a"]
+
 REFUSAL = (
     r"^\s*(?:I'm sorry|I am sorry|Sorry,|I can't|I cannot|I can’t|I won't"
     r"|I'm not able|I am not able|I'm unable)"

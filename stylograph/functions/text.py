@@ -45,6 +45,20 @@ def count_literal(text: Text, piece: str) -> Column:
     return (removed / F.lit(len(piece))).cast("int")
 
 
+def wall_micros(ts: Text) -> Column:
+    """Microseconds since 1970 as the clock on the wall shows them, with or without a time zone."""
+    t = _c(ts).cast("timestamp_ntz")
+    seconds = F.hour(t) * 3600 + F.minute(t) * 60
+    part = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return (days * 86_400 + seconds) * 1_000_000 + part
+
+
+def from_wall_micros(micros: Text) -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=(_c(micros) / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
 # ---- conversations ----------------------------------------------------------------------------
 
 
@@ -152,21 +166,44 @@ def is_refusal(text: Text) -> Column:
     return matches(text, P.REFUSAL, "i")
 
 
-def names_own_label(text: Text, label: Text, names: dict[str, str] = P.NAME_PATTERNS) -> Column:
-    """Does the text match the pattern of its own label?  One branch per label, tried by equality first."""
-    out = None
-    for key, pattern in names.items():
+def may_hold_name(text: Text) -> Column:
+    """False only where no name pattern can match: the cheap test in front of the costly patterns."""
+    t = _c(text)
+    low = F.lower(t)
+    found = F.lit(False)
+    for stem, confirm in P.NAME_STEMS.items():
+        hit = low.contains(stem)
+        found = found | (hit if confirm is None else hit & low.rlike(P.java(confirm)))
+    for letter in P.ODD_CASE_LETTERS:
+        found = found | t.contains(letter)
+    return found
+
+
+def names_own_label(text: Text, label: Text, maybe: Column | None = None) -> Column:
+    """Does the text match the name pattern of its own label?
+
+    ``maybe`` is a column already holding :func:`may_hold_name` of the text, here and below.
+    """
+    own = None
+    for key, pattern in P.NAME_PATTERNS.items():
         test, hit = _c(label) == key, matches(text, pattern, "i")
-        out = F.when(test, hit) if out is None else out.when(test, hit)
-    return F.coalesce(out, F.lit(False))
+        own = F.when(test, hit) if own is None else own.when(test, hit)
+    return F.when(_maybe(text, maybe), F.coalesce(own, F.lit(False))).otherwise(F.lit(False))
+
+
+def names_any(text: Text, maybe: Column | None = None) -> Column:
+    """Does the text match the name pattern of any label?"""
+    return F.when(_maybe(text, maybe), matches(text, P.ANY_NAME, "i")).otherwise(F.lit(False))
 
 
-def names_any(text: Text, pattern: str = P.ANY_NAME) -> Column:
-    return matches(text, pattern, "i")
+def mask_terms(text: Text, mask: str = P.MASK, maybe: Column | None = None) -> Column:
+    """Every name replaced by the mask."""
+    masked = replace_all(text, P.ANY_NAME, mask, "i")
+    return F.when(_maybe(text, maybe), masked).otherwise(_c(text))
 
 
-def mask_terms(text: Text, pattern: str = P.ANY_NAME, mask: str = P.MASK) -> Column:
-    return replace_all(text, pattern, mask, "i")
+def _maybe(text: Text, known: Column | None) -> Column:
+    return may_hold_name(text) if known is None else known
 
 
 def shows_reasoning(text: Text) -> Column:

@@ -30,16 +30,20 @@ def cleaning_report(rows: DataFrame, minimum: int = 20) -> DataFrame:
 def clean_texts(rows: DataFrame) -> DataFrame:
     """Raw copies without reasoning traces, flags, and masked input and output.  Narrow: no shuffle."""
     rows = rows.withColumns({"output_raw": X.strip_traces("output"), "input_raw": X.strip("input")})
-    return drop_near_empty(rows).withColumns(
+    rows = drop_near_empty(rows).withColumns(
+        {"_out": X.may_hold_name("output_raw"), "_in": X.may_hold_name("input_raw")}
+    )
+    out, inp = F.col("_out"), F.col("_in")
+    return rows.withColumns(
         {
             "is_reasoning": X.is_reasoning("model"),
             "refusal": X.is_refusal("output_raw"),
-            "self_id": X.names_own_label("output_raw", "family"),
-            "prompt_names_model": X.names_any("input_raw"),
-            "input": X.mask_terms("input_raw"),
-            "output": X.mask_terms("output_raw"),
+            "self_id": X.names_own_label("output_raw", "family", out),
+            "prompt_names_model": X.names_any("input_raw", inp),
+            "input": X.mask_terms("input_raw", maybe=inp),
+            "output": X.mask_terms("output_raw", maybe=out),
         }
-    )
+    ).drop("_out", "_in")
 
 
 def assign_split(rows: DataFrame, key: str = "prompt_id", seed: int = SEED) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import seeded_digest
 from ..functions.stats import proportion_p_value, round_even
 from ..functions.style import FEATURES
-from ..functions.text import count_matches
+from ..functions.text import count_matches, from_wall_micros, wall_micros
 from .clean import group_split
 from .quantiles import quantiles_of_counts, quantiles_of_wide
 from .skew import lowest_per_group
@@ -21,14 +21,15 @@ HOUR_US = 3_600_000_000
 
 def time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Adds whole days since 2025-01-01 (rounded down) and the hour of the day."""
-    start = F.unix_micros(F.lit("2025-01-01 00:00:00").cast("timestamp"))
-    days = F.floor((F.unix_micros(ts) - start) / F.lit(24 * HOUR_US)).cast("bigint")
+    start = F.lit("2025-01-01").cast("date")
+    # a date drops the time of day, which rounds whole days down
+    days = F.datediff(F.to_date(F.col(ts)), start).cast("bigint")
     return df.withColumns({"day": days, "hour": F.hour(ts)})
 
 
 def time_range_by_class(df: DataFrame, label: str = "family", ts: str = "timestamp") -> DataFrame:
     """First, median and last timestamp of each class, in microseconds resolution."""
-    micros = df.select(label, F.unix_micros(ts).alias("_us"))
+    micros = df.select(label, wall_micros(ts).alias("_us"))
     q = quantiles_of_wide(micros, "_us", [0.0, 0.5, 1.0], label, HOUR_US)
     wide = q.groupBy(label).agg(
         *[
@@ -36,7 +37,7 @@ def time_range_by_class(df: DataFrame, label: str = "family", ts: str = "timesta
             for name, p in (("first", 0.0), ("median", 0.5), ("last", 1.0))
         ]
     )
-    as_time = {c: F.timestamp_micros(F.floor(c).cast("bigint")) for c in ("first", "median", "last")}
+    as_time = {c: from_wall_micros(F.floor(c).cast("bigint")) for c in ("first", "median", "last")}
     return wide.withColumns(as_time)
 
 

@@ -27,7 +27,7 @@ def battle_key(battles: DataFrame) -> Column:
         said = F.transform(c, lambda m: X.message_text(m["content_text"], m["content_parts"]))
         return F.array_join(said, "\x1e")
 
-    content = [F.col("language"), F.col("model_a"), F.col("model_b"), F.unix_micros("timestamp")]
+    content = [F.col("language"), F.col("model_a"), F.col("model_b"), X.wall_micros("timestamp")]
     digest = row_digest(*content, talk("conversation_a"), talk("conversation_b"))
     return F.coalesce(F.col("id"), digest)
 
@@ -149,7 +149,7 @@ def balanced_sample(
 
 def crosstab(rows: DataFrame, by: str, across: str, values: list[str]) -> DataFrame:
     """Counts of ``by`` x ``across``; absent cells are 0.  Known values save a pass over the data."""
-    table = rows.groupBy(by).pivot(across, values).agg(F.count("*"))
+    table = rows.groupBy(by).pivot(across, values).agg(F.count(F.lit(1)))
     return table.fillna(0, subset=values)
 
 

@@ -32,45 +32,51 @@ def word_terms(text: Column, sizes: tuple[int, int]) -> Column:
     tokens = find_all(F.lower(text), P.TERM_TOKEN)
     grams = []
     for n in range(sizes[0], sizes[1] + 1):
-        if n == 1:
-            grams.append(tokens)
-            continue
-        parts = [F.slice(tokens, F.lit(1 + i), F.greatest(F.size(tokens) - (n - 1), F.lit(0))) for i in range(n)]
-        grams.append(
-            F.transform(
-                F.arrays_zip(*[p.alias(f"t{i}") for i, p in enumerate(parts)]),
-                lambda z: F.concat_ws(" ", *[z[f"{i}"] for i in range(n)]),
-            )
-        )
+        room = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        shifted = [F.slice(tokens, F.lit(1 + i), room).alias(f"t{i}") for i in range(n)]
+        grams.append(tokens if n == 1 else F.transform(F.arrays_zip(*shifted), _joined(n)))
     return F.concat(*grams)
 
 
+def _joined(n: int):
+    return lambda z: F.concat_ws(" ", *[z[f"t{i}"] for i in range(n)])
+
+
 def char_terms(text: Column, sizes: tuple[int, int]) -> Column:
-    """Character n-grams, case kept, over text whose runs of blanks are one space."""
+    """Character n-grams, case kept, over text whose runs of blanks are one space.
+
+    A look-ahead captures the n-gram at every position in one linear scan; cutting substrings by
+    position would walk the text from its start each time.  The second half of a surrogate pair is
+    not a position.
+    """
     t = replace_all(text, r"\s\s+", " ")
-    grams = []
-    for n in range(sizes[0], sizes[1] + 1):
-        last = F.length(t) - (n - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1))))
-        grams.append(
-            F.coalesce(
-                F.transform(starts, lambda i, n=n: F.substring(t, i, F.lit(n))),
-                F.array().cast("array<string>"),
-            )
-        )
+    grams = [
+        F.regexp_extract_all(t, F.lit(rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"), F.lit(1))
+        for n in range(sizes[0], sizes[1] + 1)
+    ]
     return F.concat(*grams)
 
 
 TERMS = {"word": word_terms, "char": char_terms}
 
 
+def by_row(df: DataFrame, row_id: str) -> DataFrame:
+    """Rows spread by id over the session's shuffle partitions.
+
+    The number is given on purpose: left to itself, adaptive execution would merge partitions by the
+    size of the texts, before they grow a hundredfold as n-grams.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, row_id)
+
+
 def term_counts(df: DataFrame, row_id: str, text: str, block: Block, keep: list[str] = ()) -> DataFrame:
     """(row_id, *keep, term, tf).
 
     Rows are spread by their id first, text only.  The n-grams, four per character, are then
     counted where their row is: no n-gram crosses the network.
     """
-    docs = df.select(row_id, *keep, F.col(text).alias("_text")).repartition(row_id)
+    docs = by_row(df.select(row_id, *keep, F.col(text).alias("_text")), row_id)
     terms = docs.select(row_id, *keep, F.explode(TERMS[block.name](F.col("_text"), block.sizes)).alias("term"))
     return terms.groupBy(row_id, *keep, "term").agg(F.count("*").alias("tf"))
 
@@ -165,7 +171,7 @@ def as_vectors(df: DataFrame, row_id: str, text: str, fitted: list[FittedBlock],
     Everything stays partitioned by row id after the first exchange.
     """
     size = sum(f.size for f in fitted)
-    docs = df.select(row_id, *carry, F.col(text).alias("_text")).repartition(row_id)
+    docs = by_row(df.select(row_id, *carry, F.col(text).alias("_text")), row_id)
     exploded = None
     for number, f in enumerate(fitted):
         grams = TERMS[f.block.name](F.col("_text"), f.block.sizes)

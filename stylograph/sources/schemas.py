@@ -32,7 +32,7 @@ BATTLES = T.StructType(
             "category_tag", T.MapType(T.StringType(), T.MapType(T.StringType(), T.BooleanType()))
         ),
         T.StructField("is_code", T.BooleanType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("timestamp", T.TimestampNTZType()),
     ]
 )
 
@@ -44,7 +44,7 @@ CURATED = T.StructType(
         T.StructField("is_reasoning", T.BooleanType()),
         T.StructField("family", T.StringType()),
         T.StructField("domain", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("timestamp", T.TimestampNTZType()),
         T.StructField("input", T.StringType()),
         T.StructField("output", T.StringType()),
     ]

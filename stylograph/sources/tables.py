@@ -14,10 +14,19 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return require(df, columns).select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer tasks than cores out to all cores; other scans stay as they are.
+
+    Meant for small tables that sit in a single row group and meet costly text expressions next.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_battles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw battles with the schema given, not inferred: no extra pass over the files."""
+    """Raw battles.  Parquet brings its own types and is checked; other formats get the schema given."""
     if fmt == "parquet":
-        require(spark.read.parquet(path), BATTLES.fieldNames())
+        return require(spark.read.parquet(path), BATTLES.fieldNames())
     return spark.read.schema(BATTLES).format(fmt).load(path)
 
 
