@@ -153,6 +153,6 @@ def token_saliency_fitted(spark, sf):
     rows = _processed(spark, sf)
     train, _, test = E.split_parts(rows)
     clf = learn.fit_linear_text(train, P.FAMILIES, "output", max_iter=E.QUICK.max_iter)
-    weights = explain.coefficient_table(clf).filter("block = 'word'")
+    weights = explain.coefficient_table(spark, clf).filter("block = 'word'")
     positive = weights.select("label", F.col("term").alias("token"), F.greatest("weight", F.lit(0.0)).alias("weight"))
     return explain.token_saliency(test, positive, "row_id", min_count=5)

@@ -186,13 +186,13 @@ def _sql_one(block: tfidf.Block) -> str:
 @query("tfidf_word", _sql_one(tfidf.WORDS))
 def tfidf_word(spark, sf):
     rows, fit = _split_rows(spark, sf)
-    return _per_term(tfidf.tfidf(rows, "row_id", "output", tfidf.WORDS, fit)[0])
+    return _per_term(tfidf.tfidf(rows, "row_id", "output", (tfidf.WORDS,), fit))
 
 
 @query("tfidf_char", _sql_one(tfidf.CHARS))
 def tfidf_char(spark, sf):
     rows, fit = _split_rows(spark, sf)
-    return _per_term(tfidf.tfidf(rows, "row_id", "output", tfidf.CHARS, fit)[0])
+    return _per_term(tfidf.tfidf(rows, "row_id", "output", (tfidf.CHARS,), fit))
 
 
 @query(

@@ -35,10 +35,9 @@ class Classifier:
     features: list[str] = field(default_factory=list)
     blocks: list[FittedBlock] = field(default_factory=list)
 
-    def vectors(self, df: DataFrame, row_id: str, carry: list[str]) -> DataFrame:
+    def vectors(self, df: DataFrame, carry: list[str]) -> DataFrame:
         if self.blocks:
-            text = df.withColumn("_field", field_view(self.mode))
-            return as_vectors(text, row_id, "_field", self.blocks, carry)
+            return as_vectors(df.withColumn("_field", field_view(self.mode)), "_field", self.blocks, carry)
         return VectorAssembler(inputCols=self.features, outputCol="features").transform(df)
 
 
@@ -59,9 +58,8 @@ def predict_batch(clf: Classifier, vectors: DataFrame, keep: list[str]) -> DataF
 
 
 def fit_linear_text(
-    train: DataFrame, labels: list[str], mode: str = "output", row_id: str = "row_id",
-    label: str = "family", strength: float = 4.0, max_iter: int = 2000,
-    blocks: tuple[Block, ...] = (WORDS, CHARS),
+    train: DataFrame, labels: list[str], mode: str = "output", label: str = "family", strength: float = 4.0,
+    max_iter: int = 2000, blocks: tuple[Block, ...] = (WORDS, CHARS),
 ) -> Classifier:
     """Multinomial logistic regression on word and character TF-IDF of one field.
 
@@ -70,8 +68,8 @@ def fit_linear_text(
     1 / (strength * n).
     """
     text = train.withColumn("_field", field_view(mode))
-    fitted = fit_blocks(text, row_id, "_field", blocks)
-    vectors = as_vectors(text, row_id, "_field", fitted, [label])
+    fitted = fit_blocks(text, "_field", blocks)
+    vectors = as_vectors(text, "_field", fitted, [label])
     vectors = materialize(vectors.withColumn("label", label_index(labels, label)), "vectors")
     n = vectors.count()
     lr = LogisticRegression(
@@ -124,7 +122,7 @@ def score(
             df = style_features(df, text)
         elif clf.features == TIME_FEATURES:
             df = time_features(df, ts)
-        vectors = clf.vectors(df, row_id, [label])
+        vectors = clf.vectors(df, [row_id, label])
         rows = predict_batch(clf, vectors, [row_id, label]).select(
             F.lit(name).alias("test_set"), F.col(row_id).alias("row_id"), F.col(label).alias("true"), "pred", "probs"
         )

@@ -12,6 +12,16 @@ HOT_KEYS = 1_000  # keys handled by broadcast; any other key holds less than 1/H
 SALTS = 4_096
 
 
+def by_row(df: DataFrame, row_id: str) -> DataFrame:
+    """Rows spread by id over the session's shuffle partitions.
+
+    The number is given on purpose: left to itself, adaptive execution would merge partitions by the
+    size of the texts, before they grow manyfold as tokens.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, row_id)
+
+
 def lookup_by_key(
     rows: DataFrame, totals: DataFrame, key: str, weight: str, row_id: Column | str, hot_keys: int = HOT_KEYS
 ) -> DataFrame:

@@ -1,18 +1,21 @@
-"""TF-IDF weights of word and character n-grams as one long table (row, block, term, weight)."""
+"""TF-IDF weights of word and character n-grams, as sparse vectors or as one long table.
+
+Fitting is one aggregate by term.  Weighing is narrow: each row's n-grams are counted against the
+fitted list where the row is, so texts and n-grams never cross the network.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from ..functions import patterns as P
 from ..functions.text import find_all, replace_all
-from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -60,152 +63,138 @@ def char_terms(text: Column, sizes: tuple[int, int]) -> Column:
 TERMS = {"word": word_terms, "char": char_terms}
 
 
-def by_row(df: DataFrame, row_id: str) -> DataFrame:
-    """Rows spread by id over the session's shuffle partitions.
-
-    The number is given on purpose: left to itself, adaptive execution would merge partitions by the
-    size of the texts, before they grow a hundredfold as n-grams.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, row_id)
-
-
-def term_counts(df: DataFrame, row_id: str, text: str, block: Block, keep: list[str] = ()) -> DataFrame:
-    """(row_id, *keep, term, tf).
+def fit_terms(df: DataFrame, text: str, block: Block) -> DataFrame:
+    """(term, df, total, idf): terms in at least ``min_df`` rows, the ``max_terms`` most frequent of them.
 
-    Rows are spread by their id first, text only.  The n-grams, four per character, are then
-    counted where their row is: no n-gram crosses the network.
+    A row sends each of its n-grams once for every use and once for its presence; both are counted
+    by term before the shuffle, so frequent n-grams are no burden.  Ties go by term order.
     """
-    docs = by_row(df.select(row_id, *keep, F.col(text).alias("_text")), row_id)
-    terms = docs.select(row_id, *keep, F.explode(TERMS[block.name](F.col("_text"), block.sizes)).alias("term"))
-    return terms.groupBy(row_id, *keep, "term").agg(F.count("*").alias("tf"))
-
-
-def fit_terms(counts: DataFrame, n_rows: DataFrame, block: Block) -> DataFrame:
-    """(term, idf): terms in at least ``min_df`` rows, the ``max_terms`` most frequent of them.
-
-    ``n_rows`` is a one-row table (n).  Ties go by term order.
-    """
-    stats = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+    grams = TERMS[block.name](F.col(text), block.sizes)
+    uses = F.transform("_grams", lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
+    rows = F.transform(F.array_distinct("_grams"), lambda g: F.struct(g.alias("term"), F.lit(1).alias("rows")))
+    sent = df.select(grams.alias("_grams")).select(F.explode(F.concat(uses, rows)).alias("g"))
+    stats = sent.groupBy("g.term").agg(
+        F.sum("g.rows").alias("df"), F.count_if(F.col("g.rows") == 0).alias("total")
+    )
     top = (
         stats.filter(F.col("df") >= block.min_df)
         .orderBy(F.desc("total"), "term")
         .limit(block.max_terms)
     )
+    n_rows = df.agg(F.count("*").alias("n"))
     idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0
-    return top.crossJoin(F.broadcast(n_rows)).select("term", "df", idf.alias("idf"))
-
-
-def weigh(counts: DataFrame, fitted: DataFrame, row_id: str, block: Block, keep: list[str] = ()) -> DataFrame:
-    """(row_id, *keep, block, term, weight): (1 + ln tf) * idf, each row scaled to length 1.
-
-    The fitted terms are broadcast (at most ``max_terms``).  Rows already sit together, so the row
-    length needs no shuffle.
-    """
-    raw = counts.join(F.broadcast(fitted.select("term", "idf")), "term").withColumn(
-        "_w", (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")
-    )
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(row_id, *keep)))
-    return raw.select(
-        row_id, *keep, F.lit(block.name).alias("block"), "term", (F.col("_w") / length).alias("weight")
-    )
-
-
-def tfidf(
-    df: DataFrame, row_id: str, text: str, block: Block, fit_on: Column | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(weights of all rows, fitted terms).  Terms, frequencies and n come from the ``fit_on`` rows."""
-    fit_on = F.lit(True) if fit_on is None else fit_on
-    rows = df.withColumn("_fit", fit_on)
-    counts = term_counts(rows, row_id, text, block, ["_fit"])
-    n_rows = rows.filter("_fit").agg(F.count("*").alias("n"))
-    fitted = fit_terms(counts.filter("_fit"), n_rows, block)
-    return weigh(counts, fitted, row_id, block, ["_fit"]).drop("_fit"), fitted
-
-
-def stack_blocks(
-    df: DataFrame, row_id: str, text: str, fit_on: Column | None = None,
-    blocks: tuple[Block, ...] = (WORDS, CHARS),
-) -> DataFrame:
-    """Word and character weights side by side, as one long table with a block column."""
-    parts = [tfidf(df, row_id, text, b, fit_on)[0] for b in blocks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return top.crossJoin(F.broadcast(n_rows)).select("term", "df", "total", idf.alias("idf"))
 
 
 @dataclass
 class FittedBlock:
-    """A block with its terms numbered from ``offset`` on."""
+    """A block's terms and idf weights, numbered in term order from ``offset`` on."""
 
     block: Block
-    terms: DataFrame  # term, idf, index
-    offset: int
-    size: int
+    terms: list[str]
+    idf: list[float]
+    offset: int = 0
 
+    @property
+    def size(self) -> int:
+        return len(self.terms)
 
-def fit_blocks(
-    df: DataFrame, row_id: str, text: str, blocks: tuple[Block, ...] = (WORDS, CHARS)
-) -> list[FittedBlock]:
-    """Fit every block on all rows of ``df`` and store its terms; only their number reaches the driver."""
-    n_rows = df.agg(F.count("*").alias("n"))
+    def table(self, spark) -> DataFrame:
+        """(block, term, index) of all terms."""
+        rows = [(self.block.name, t, self.offset + i) for i, t in enumerate(self.terms)]
+        return spark.createDataFrame(rows, "block string, term string, index int")
+
+
+def fit_blocks(df: DataFrame, text: str, blocks: tuple[Block, ...] = (WORDS, CHARS)) -> list[FittedBlock]:
+    """Fit every block on all rows of ``df``.
+
+    The fitted lists, at most ``max_terms`` entries each whatever the data, come to the driver as a
+    model's parameters do.
+    """
     out, offset = [], 0
     for b in blocks:
-        terms = fit_terms(term_counts(df, row_id, text, b), n_rows, b)
-        # at most max_terms entries: numbered as one sorted list
-        listed = terms.agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("v"))
-        numbered = listed.select(F.posexplode("v").alias("at", "v")).select(
-            "v.term", "v.idf", (F.col("at") + offset).alias("index")
-        )
-        stored = materialize(numbered, f"terms-{b.name}")
-        size = stored.count()
-        out.append(FittedBlock(b, stored, offset, size))
-        offset += size
+        fitted = sorted((r.term, r.idf) for r in fit_terms(df, text, b).select("term", "idf").collect())
+        if not fitted:
+            raise ValueError(f"no {b.name} term occurs in {b.min_df} rows")
+        out.append(FittedBlock(b, [t for t, _ in fitted], [w for _, w in fitted], offset))
+        offset += len(fitted)
     return out
 
 
-def as_vectors(df: DataFrame, row_id: str, text: str, fitted: list[FittedBlock], carry: list[str]) -> DataFrame:
-    """``carry`` columns plus a sparse ``features`` vector per row, built without leaving the JVM.
+def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[str]) -> DataFrame:
+    """``carry`` columns plus a sparse ``features`` vector per row; narrow, no shuffle.
 
-    Everything stays partitioned by row id after the first exchange.
+    Weights are (1 + ln tf) * idf, each block scaled to length 1, blocks side by side.
     """
-    size = sum(f.size for f in fitted)
-    docs = by_row(df.select(row_id, *carry, F.col(text).alias("_text")), row_id)
-    exploded = None
-    for number, f in enumerate(fitted):
-        grams = TERMS[f.block.name](F.col("_text"), f.block.sizes)
-        terms = docs.select(row_id, F.explode(grams).alias("term")).groupBy(row_id, "term").agg(
-            F.count("*").alias("tf")
-        )
-        raw = terms.join(F.broadcast(f.terms), "term").withColumn(
-            "_w", (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")
-        )
-        entries = raw.groupBy(row_id).agg(
-            F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"),
-            F.array_sort(F.collect_list(F.struct("index", "_w"))).alias("_e"),
-        )
-        scaled = entries.select(
-            row_id,
-            F.transform("_e", lambda e: e["index"].cast("int")).alias(f"_i{number}"),
-            F.transform("_e", lambda e: e["_w"] / F.col("_length")).alias(f"_v{number}"),
-        )
-        exploded = scaled if exploded is None else exploded.join(scaled, row_id, "full")
-    base = docs.drop("_text").join(exploded, row_id, "left")
-    none_i, none_v = F.array().cast("array<int>"), F.array().cast("array<double>")
-    indices = F.concat(*[F.coalesce(f"_i{k}", none_i) for k in range(len(fitted))])
-    values = F.concat(*[F.coalesce(f"_v{k}", none_v) for k in range(len(fitted))])
-    return base.select(row_id, *carry, sparse_vector(size, indices, values).alias("features"))
-
-
-def sparse_vector(size: int, indices: Column, values: Column) -> Column:
-    """A sparse ML vector out of two arrays.
-
-    The vector type can be read from JSON but not cast from a struct, so the arrays go through JSON.
+    out = df.select(*carry, F.col(text).alias("_text"))
+    for f in fitted:
+        name = f.block.name
+        out = out.withColumn(f"_{name}", TERMS[name](F.col("_text"), f.block.sizes))
+        out = _counter(df.sparkSession, f, f"_{name}").transform(out)
+        out = out.withColumn("_counts", _sublinear("_counts")).drop(f"_{name}")
+        idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_raw")
+        out = Normalizer(p=2.0, inputCol="_raw", outputCol="_unit").transform(idf.transform(out))
+        # the assembler runs a job on the first row unless it is told the size
+        sized = F.col("_unit").alias(f"_block_{name}", metadata={"ml_attr": {"num_attrs": f.size}})
+        out = out.select(*[c for c in out.columns if c not in ("_counts", "_raw", "_unit")], sized)
+    columns = [f"_block_{f.block.name}" for f in fitted]
+    joined = VectorAssembler(inputCols=columns, outputCol="features").transform(out)
+    # without the names it gives to each of 150,000 entries, which every later plan would carry
+    return joined.select(*carry, F.col("features").alias("features", metadata={}))
+
+
+def _counter(spark, fitted: FittedBlock, column: str) -> CountVectorizerModel:
+    """Counts of the fitted terms.  The list goes over as one text; term by term takes many seconds."""
+    letters = set().union(*fitted.terms)
+    mark = next(chr(c) for c in range(0xE000, 0xF900) if chr(c) not in letters)
+    pattern = spark.sparkContext._gateway.jvm.java.util.regex.Pattern
+    terms = pattern.compile(mark).split(mark.join(fitted.terms))
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", terms
+    )
+    return model.setInputCol(column).setOutputCol("_counts")
+
+
+def _sublinear(counts: str) -> Column:
+    """The same sparse vector with 1 + ln(count) in place of each count.
+
+    A vector can be taken apart but not put together by SQL expressions, except by reading it from
+    JSON.
     """
+    v = F.unwrap_udt(F.col(counts))
     record = F.struct(
         F.struct(
-            F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")
+            v["type"].alias("type"), v["size"].alias("size"), v["indices"].alias("indices"),
+            F.transform(v["values"], lambda x: F.lit(1.0) + F.log(x)).alias("values"),
         ).alias("v")
     )
     return F.from_json(F.to_json(record), T.StructType([T.StructField("v", VectorUDT())]))["v"]
+
+
+def term_weights(
+    df: DataFrame, row_id: str, text: str, fitted: list[FittedBlock], keep: list[str] = ()
+) -> DataFrame:
+    """(row_id, *keep, block, term, weight): the non-zero weights of every row, as a long table."""
+    v = F.unwrap_udt(F.col("features"))
+    pairs = F.arrays_zip(v["indices"].alias("index"), v["values"].alias("weight"))
+    vectors = as_vectors(df, text, fitted, [row_id, *keep])
+    long = vectors.select(row_id, *keep, F.explode(pairs).alias("e")).select(row_id, *keep, "e.*")
+    names = None
+    for f in fitted:
+        one = f.table(df.sparkSession)
+        names = one if names is None else names.unionByName(one)
+    # at most max_terms entries per block
+    return long.join(F.broadcast(names), "index").select(row_id, *keep, "block", "term", "weight")
+
+
+def tfidf(
+    df: DataFrame, row_id: str, text: str, blocks: tuple[Block, ...], fit_on: Column | None = None
+) -> DataFrame:
+    """Weights of all rows; terms, frequencies and n come from the ``fit_on`` rows alone."""
+    train = df if fit_on is None else df.filter(fit_on)
+    return term_weights(df, row_id, text, fit_blocks(train, text, blocks))
+
+
+def stack_blocks(df: DataFrame, row_id: str, text: str, fit_on: Column | None = None) -> DataFrame:
+    """Word and character weights side by side, as one long table with a block column."""
+    return tfidf(df, row_id, text, (WORDS, CHARS), fit_on)

@@ -6,7 +6,7 @@ are then aggregates over that table; finished runs are found by key and not fitt
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,10 @@ class Settings:
 
 
 FULL = Settings()
-QUICK = Settings(max_iter=20, style_rounds=3, time_rounds=3, depth=3)
+QUICK = Settings(
+    max_iter=20, style_rounds=3, time_rounds=3, depth=3,
+    blocks=(Block("word", (1, 2), 5_000, 2), Block("char", (2, 5), 10_000, 3)),
+)
 
 
 @dataclass(frozen=True)
@@ -62,7 +65,7 @@ def fit(grid: Grid, run: Run, train: DataFrame) -> learn.Classifier:
     s, labels = grid.settings, list(grid.labels)
     if run.kind == "linear":
         return learn.fit_linear_text(
-            train, labels, run.field, grid.row_id, grid.label, s.strength, s.max_iter, s.blocks
+            train, labels, run.field, grid.label, s.strength, s.max_iter, s.blocks
         )
     if run.kind == "style":
         return learn.fit_style_trees(train, labels, grid.label, "output", s.style_rounds, 0.08, run.seed, s.depth)
@@ -222,8 +225,7 @@ def test_time_ablation(
 ) -> DataFrame:
     """(variant, accuracy, n) of one fitted model on every variant of the test rows, scored in one pass."""
     versions = X.ablate_all(test.select(grid.row_id, grid.label, "input", "output", "input_raw", "output_raw"), variants)
-    versions = versions.withColumn("_id", F.concat_ws(":", "variant", grid.row_id))
-    vectors = clf.vectors(versions, "_id", [grid.label, "variant"])
+    vectors = clf.vectors(versions, [grid.label, "variant"])
     preds = learn.predict_batch(clf, vectors, [grid.label, "variant"])
     return evaluate.accuracy_n(preds.withColumnRenamed(grid.label, "true"), ["variant"])
 
@@ -259,8 +261,4 @@ def explain_terms(grid: Grid, processed: DataFrame, field: str = "output", k: in
     """The heaviest terms of each label in the linear model of one field."""
     train, _, _ = split_parts(processed)
     clf = fit(grid, Run("linear", field), train)
-    return explain.top_class_terms(explain.coefficient_table(clf), k)
-
-
-def quick(grid: Grid) -> Grid:
-    return replace(grid, settings=QUICK)
+    return explain.top_class_terms(explain.coefficient_table(processed.sparkSession, clf), k)
