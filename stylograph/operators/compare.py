@@ -134,14 +134,14 @@ def size_matched_sample(
     pool: DataFrame, size: DataFrame, seed: int, key: list[str], label: str = "family"
 ) -> DataFrame:
     """From each label min(available, n // labels) rows; ``size`` is a one-row table (n)."""
-    # the set of labels, collected as one short list in the same pass
-    labels = pool.agg(F.collect_set(label).alias("_labels"))
-    per_label = F.floor(F.col("n") / F.size("_labels")).cast("bigint")
-    wanted = labels.crossJoin(F.broadcast(size)).select(
-        F.explode("_labels").alias(label), per_label.alias("n")
-    )
+
+    def wanted(totals: DataFrame) -> DataFrame:
+        share = totals.agg(F.count("*").alias("labels")).crossJoin(F.broadcast(size))
+        share = share.select(F.floor(F.col("n") / F.col("labels")).alias("n"))
+        return totals.select(label).crossJoin(F.broadcast(share))
+
     keyed = pool.withColumns({"_digest": seeded_digest(seed, *key), "_tie": F.concat_ws("|", *key)})
-    return lowest_per_group(keyed, label, "_digest", wanted, "_tie").drop("_digest", "_tie")
+    return lowest_per_group(keyed, label, "_digest", "_tie", wanted).drop("_digest", "_tie")
 
 
 def recall_drop_matrix(recalls: DataFrame, domains: list[str]) -> DataFrame:

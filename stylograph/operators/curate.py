@@ -139,12 +139,14 @@ def balanced_sample(
     With ``minimum``, classes with fewer rows are left out first (as :func:`min_class_filter`, but
     sharing the one class count).
     """
-    counts = class_counts(rows, label).filter(F.col("n") >= minimum)
-    n = counts.agg(F.least(F.min("n"), F.lit(cap)).alias("n"))
-    # one row per label, each with the same n
-    wanted = counts.select(label).crossJoin(F.broadcast(n))
+
+    def wanted(totals: DataFrame) -> DataFrame:
+        kept = totals.filter(F.col("total") >= minimum)
+        smallest = kept.agg(F.least(F.min("total"), F.lit(cap)).alias("n"))
+        return kept.select(label).crossJoin(F.broadcast(smallest))
+
     keyed = rows.withColumns({"_digest": seeded_digest(seed, *key), "_tie": F.concat_ws("|", *key)})
-    return lowest_per_group(keyed, label, "_digest", wanted, "_tie").drop("_digest", "_tie")
+    return lowest_per_group(keyed, label, "_digest", "_tie", wanted).drop("_digest", "_tie")
 
 
 def crosstab(rows: DataFrame, by: str, across: str, values: list[str]) -> DataFrame:

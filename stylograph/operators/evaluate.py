@@ -20,10 +20,6 @@ def correct() -> Column:
     return (F.col("pred") == F.col("true")).cast("int")
 
 
-def label_table(df: DataFrame, labels: list[str], name: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([(x,) for x in labels], f"{name} string")
-
-
 def accuracy_n(preds: DataFrame, by: list[str]) -> DataFrame:
     return preds.groupBy(*by).agg(F.avg(correct()).alias("accuracy"), F.count("*").alias("n"))
 
@@ -31,11 +27,13 @@ def accuracy_n(preds: DataFrame, by: list[str]) -> DataFrame:
 def confusion(preds: DataFrame, labels: list[str], by: list[str]) -> DataFrame:
     """(by, true, pred, n): the full label grid per run, zeros kept."""
     counts = preds.groupBy(*by, "true", "pred").agg(F.count("*").alias("n"))
-    # the grid is runs x labels x labels: literal label lists, crossed with the runs that occur
+    # one short map per run, labels x labels at most: the predictions are read once
+    cell = F.struct(F.col("true"), F.col("pred"))
+    seen = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(cell, "n"))).alias("_n"))
     cells = [F.struct(F.lit(t).alias("true"), F.lit(p).alias("pred")) for t in labels for p in labels]
-    grid = counts.select(*by).distinct().select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.*")
-    full = grid.join(counts, [*by, "true", "pred"], "left")
-    return full.select(*by, "true", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    grid = seen.select(*by, "_n", F.explode(F.array(*cells)).alias("c"))
+    n = F.coalesce(F.try_element_at("_n", F.col("c")), F.lit(0)).cast("bigint")
+    return grid.select(*by, "c.true", "c.pred", n.alias("n"))
 
 
 def confusion_norm(matrix: DataFrame, by: list[str]) -> DataFrame:
@@ -83,21 +81,21 @@ def macro_f1(matrix: DataFrame, by: list[str], seen_only: bool = False) -> DataF
 
 def metrics(preds: DataFrame, labels: list[str], by: list[str]) -> DataFrame:
     """Tidy (by, metric, class, value): accuracy, n, macro_f1 and recall by class."""
-    matrix = confusion(preds, labels, by)
-    scores = _class_scores(matrix, by)
+    scores = _class_scores(confusion(preds, labels, by), by)
     recall = F.coalesce(F.try_divide("hits", "actual"), F.lit(0.0))
     f1 = F.coalesce(
         F.try_divide(F.lit(2.0) * F.col("hits"), F.col("actual") + F.col("predicted")), F.lit(0.0)
     )
+
+    def entry(metric: str, value: Column, label: Column | None = None) -> Column:
+        name = F.lit(None).cast("string") if label is None else label
+        return F.struct(F.lit(metric).alias("metric"), name.alias("class"), value.cast("double").alias("value"))
+
     total = F.sum("actual")
-    summary = scores.groupBy(*by).agg(
-        (F.sum("hits") / total).alias("accuracy"), F.avg(f1).alias("macro_f1"), total.cast("double").alias("n")
-    )
-    tidy = summary.unpivot(by, ["accuracy", "macro_f1", "n"], "metric", "value")
-    per_class = scores.select(
-        *by, F.lit("recall").alias("metric"), F.col("label").alias("class"), round_even(recall, 4).alias("value")
-    )
-    return tidy.select(*by, "metric", F.lit(None).cast("string").alias("class"), "value").unionByName(per_class)
+    whole = [entry("accuracy", F.sum("hits") / total), entry("macro_f1", F.avg(f1)), entry("n", total)]
+    per_class = F.collect_list(entry("recall", round_even(recall, 4), F.col("label")))
+    rows = scores.groupBy(*by).agg(F.concat(F.array(*whole), per_class).alias("_m"))
+    return rows.select(*by, F.explode("_m").alias("m")).select(*by, "m.*")
 
 
 def breakdown(preds: DataFrame, slices: list[str], by: list[str] = ()) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -27,10 +29,12 @@ def lookup_by_key(
 ) -> DataFrame:
     """Left join of ``rows`` with a per-key table, one shuffle, no task with all rows of a hot key.
 
-    The ``hot_keys`` heaviest keys (by ``weight``) are broadcast, a fixed bound; their rows get
+    The ``hot_keys`` heaviest keys (by ``weight``, a count of rows) are broadcast, a fixed bound; their rows get
     spread by a salt instead of meeting in one task.  All other rows join by key as usual.
     """
     values = [c for c in totals.columns if c != key]
+    # said here for both uses of the totals, so that they share one exchange
+    totals = totals.filter(F.col(key).isNotNull())
     hot = totals.orderBy(F.desc(weight), key).limit(hot_keys)
     hot = hot.select(F.col(key), F.struct(*values).alias("_hot"))
     tagged = rows.join(F.broadcast(hot), key, "left")
@@ -38,9 +42,10 @@ def lookup_by_key(
     salt = F.when(F.col("_hot").isNull(), F.lit(-1)).otherwise(
         F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
     )
-    cold = totals.select(
-        F.col(key), F.lit(-1).alias("_salt"), F.struct(*values).alias("_cold")
-    )
+    # weights are 1 or more, so this is -1; a literal would be folded out of the join keys, and all
+    # rows of a hot key would meet in one task again
+    unsalted = -F.least(F.lit(1), F.col(weight)).cast("int")
+    cold = totals.select(F.col(key), unsalted.alias("_salt"), F.struct(*values).alias("_cold"))
     joined = tagged.withColumn("_salt", salt).join(cold, [key, "_salt"], "left")
     found = F.coalesce("_hot", "_cold")
     return joined.select(
@@ -49,43 +54,38 @@ def lookup_by_key(
 
 
 def lowest_per_group(
-    df: DataFrame, group: str, digest: str, wanted: DataFrame | int, tie: str, hex_digits: int = 4
+    df: DataFrame, group: str, digest: str, tie: str, wanted: Callable[[DataFrame], DataFrame],
+    hex_digits: int = 4,
 ) -> DataFrame:
     """The ``n`` rows of each group with the smallest digest, without sorting whole groups.
 
-    ``digest`` is a uniform hex digest.  Counts per (group, digest prefix) locate the prefix at which
-    a group reaches its ``n``; rows below that prefix are kept as they stream by, and only the rows
-    of that one prefix (1/65536 of a group) are ranked.  ``wanted`` is a number for all groups, or
-    a table (group, n).
+    ``digest`` is a uniform hex digest; ``wanted`` turns the group sizes (group, total) into the
+    numbers wanted (group, n).  Counts per (group, digest prefix) locate the prefix at which a group
+    reaches its n.  Rows beyond it are dropped as they stream by; the others are ranked within their
+    prefix, so a rank never spans more than 1/65536 of a group.
     """
-    rows = df.withColumn("_bin", digest_prefix(digest, hex_digits))
+    rows = df.filter(F.col(group).isNotNull()).withColumn("_bin", digest_prefix(digest, hex_digits))
     bins = rows.groupBy(group, "_bin").agg(F.count("*").alias("_size"))
+    totals = bins.groupBy(group).agg(F.sum("_size").alias("total"))
     upto = W.partitionBy(group).orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    bins = bins.withColumn("_upto", F.sum("_size").over(upto))
-    if isinstance(wanted, int):
-        bins = bins.withColumn("n", F.lit(wanted).cast("bigint"))
-    else:
-        bins = bins.join(F.broadcast(wanted.select(group, F.col("n").cast("bigint"))), group)
+    # a row per group
+    numbers = F.broadcast(wanted(totals).select(group, F.col("n").cast("bigint")))
+    running = bins.withColumn("_upto", F.sum("_size").over(upto)).join(numbers, group)
     # per group: the last prefix to look at, and how many of its rows are still needed
     cut = (
-        bins.filter(F.col("_upto") - F.col("_size") < F.col("n"))
+        running.filter(F.col("_upto") - F.col("_size") < F.col("n"))
         .groupBy(group)
         .agg(
             F.max("_bin").alias("_cut"),
             F.max_by(F.col("n") - (F.col("_upto") - F.col("_size")), "_bin").alias("_need"),
         )
     )
-    # one row per class label
     marked = rows.join(F.broadcast(cut), group).filter(F.col("_bin") <= F.col("_cut"))
-    below = marked.filter(F.col("_bin") < F.col("_cut"))
-    rank = F.row_number().over(W.partitionBy(group).orderBy(digest, tie))
-    at_cut = (
-        marked.filter(F.col("_bin") == F.col("_cut"))
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= F.col("_need"))
-        .drop("_rank")
+    rank = F.row_number().over(W.partitionBy(group, "_bin").orderBy(digest, tie))
+    kept = marked.withColumn("_rank", rank).filter(
+        (F.col("_bin") < F.col("_cut")) | (F.col("_rank") <= F.col("_need"))
     )
-    return below.unionByName(at_cut).select(*df.columns)
+    return kept.select(*df.columns)
 
 
 def dense_index(df: DataFrame, digest: str, tie: str, name: str, hex_digits: int = 4) -> DataFrame:
