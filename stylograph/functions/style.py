@@ -32,7 +32,7 @@ def style_features(df: DataFrame, text: str = "output") -> DataFrame:
         {
             "_words": F.transform(find_all(t, P.WORD), F.lower),
             "_lines": F.split(t, "\n"),
-            "_word_chars": F.length(F.regexp_replace(t, f"[^{P.WORD_CHARS}]", "")),
+            "_word_chars": F.length(F.regexp_replace(t, f"[^{P.WORD_CHARS}]+", "")),
             "_chars": F.length(t),
         }
     )

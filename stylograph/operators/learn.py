@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions.style import FEATURES, style_features
 from ..functions.text import field_view
-from ..session import materialize
+from ..session import materialize, shared_dir
 from .compare import time_features
 from .tfidf import CHARS, WORDS, Block, FittedBlock, as_vectors, fit_blocks
 
 TIME_FEATURES = ["day", "hour"]
+PARALLEL_FITS = 4
 
 
 def label_index(labels: list[str], label: str = "family") -> Column:
@@ -80,8 +81,13 @@ def fit_linear_text(
 
 
 def _fit_boosted(vectors: DataFrame, rounds: int, rate: float, depth: int, seed: int) -> Model:
+    context = vectors.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        # boosting cuts its growing lineage there every few rounds
+        context.setCheckpointDir(shared_dir(vectors.sparkSession))
     trees = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, maxBins=64)
-    return OneVsRest(classifier=trees).fit(vectors)
+    # the classes' boosters are independent: several at a time keep the executors busy
+    return OneVsRest(classifier=trees, parallelism=PARALLEL_FITS).fit(vectors)
 
 
 def fit_trees(

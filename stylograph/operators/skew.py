@@ -14,6 +14,15 @@ HOT_KEYS = 1_000  # keys handled by broadcast; any other key holds less than 1/H
 SALTS = 4_096
 
 
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """The table with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
+
+    Counting stops one row past the bound.  Without the hint the join shuffles, and adaptive
+    execution splits its skewed partitions.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def by_row(df: DataFrame, row_id: str) -> DataFrame:
     """Rows spread by id over the session's shuffle partitions.
 

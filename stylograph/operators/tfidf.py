@@ -176,9 +176,12 @@ def term_weights(
 ) -> DataFrame:
     """(row_id, *keep, block, term, weight): the non-zero weights of every row, as a long table."""
     v = F.unwrap_udt(F.col("features"))
-    pairs = F.arrays_zip(v["indices"].alias("index"), v["values"].alias("weight"))
+    # a row that uses most of a short list comes back as a dense vector, which has no indices
+    indices = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = F.arrays_zip(indices.alias("index"), v["values"].alias("weight"))
     vectors = as_vectors(df, text, fitted, [row_id, *keep])
     long = vectors.select(row_id, *keep, F.explode(pairs).alias("e")).select(row_id, *keep, "e.*")
+    long = long.filter(F.col("weight") != 0)
     names = None
     for f in fitted:
         one = f.table(df.sparkSession)
