@@ -30,9 +30,7 @@ WORDS = Block("word", (1, 2), 50_000, 2)
 CHARS = Block("char", (2, 5), 100_000, 3)
 
 
-def word_terms(text: Column, sizes: tuple[int, int]) -> Column:
-    """Lower-cased words and single marks, as n-grams joined by a blank."""
-    tokens = find_all(F.lower(text), P.TERM_TOKEN)
+def _word_grams(tokens: Column, sizes: tuple[int, int]) -> Column:
     grams = []
     for n in range(sizes[0], sizes[1] + 1):
         room = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
@@ -45,22 +43,34 @@ def _joined(n: int):
     return lambda z: F.concat_ws(" ", *[z[f"t{i}"] for i in range(n)])
 
 
-def char_terms(text: Column, sizes: tuple[int, int]) -> Column:
-    """Character n-grams, case kept, over text whose runs of blanks are one space.
-
-    A look-ahead captures the n-gram at every position in one linear scan; cutting substrings by
+def _char_grams(text: Column, sizes: tuple[int, int]) -> Column:
+    """A look-ahead captures the n-gram at every position in one linear scan; cutting substrings by
     position would walk the text from its start each time.  The second half of a surrogate pair is
     not a position.
     """
-    t = replace_all(text, r"\s\s+", " ")
     grams = [
-        F.regexp_extract_all(t, F.lit(rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"), F.lit(1))
+        F.regexp_extract_all(text, F.lit(rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"), F.lit(1))
         for n in range(sizes[0], sizes[1] + 1)
     ]
     return F.concat(*grams)
 
 
-TERMS = {"word": word_terms, "char": char_terms}
+def with_terms(df: DataFrame, text: str, block: Block, name: str) -> DataFrame:
+    """Adds the array of a row's n-grams, repeats and all.
+
+    Words: lower-cased words and single marks, joined by a blank.  Characters: case kept, over text
+    whose runs of blanks are one space.  The tokens or the flattened text are a column of their own
+    first, as the n-grams read them many times over.
+    """
+    t = F.col(text)
+    if block.name == "word":
+        base, grams = find_all(F.lower(t), P.TERM_TOKEN), _word_grams
+    elif block.name == "char":
+        base, grams = replace_all(t, r"\s\s+", " "), _char_grams
+    else:
+        raise ValueError(f"unknown block {block.name!r}")
+    staged = df.withColumn("_base", base)
+    return staged.withColumn(name, grams(F.col("_base"), block.sizes)).drop("_base")
 
 
 def fit_terms(df: DataFrame, text: str, block: Block) -> DataFrame:
@@ -69,10 +79,10 @@ def fit_terms(df: DataFrame, text: str, block: Block) -> DataFrame:
     A row sends each of its n-grams once for every use and once for its presence; both are counted
     by term before the shuffle, so frequent n-grams are no burden.  Ties go by term order.
     """
-    grams = TERMS[block.name](F.col(text), block.sizes)
     uses = F.transform("_grams", lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
     rows = F.transform(F.array_distinct("_grams"), lambda g: F.struct(g.alias("term"), F.lit(1).alias("rows")))
-    sent = df.select(grams.alias("_grams")).select(F.explode(F.concat(uses, rows)).alias("g"))
+    grams = with_terms(df.select(text), text, block, "_grams")
+    sent = grams.select(F.explode(F.concat(uses, rows)).alias("g"))
     stats = sent.groupBy("g.term").agg(
         F.sum("g.rows").alias("df"), F.count_if(F.col("g.rows") == 0).alias("total")
     )
@@ -129,7 +139,7 @@ def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[
     out = df.select(*carry, F.col(text).alias("_text"))
     for f in fitted:
         name = f.block.name
-        out = out.withColumn(f"_{name}", TERMS[name](F.col("_text"), f.block.sizes))
+        out = with_terms(out, "_text", f.block, f"_{name}")
         out = _counter(df.sparkSession, f, f"_{name}").transform(out)
         out = out.withColumn("_counts", _sublinear("_counts")).drop(f"_{name}")
         idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_raw")

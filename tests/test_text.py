@@ -170,9 +170,14 @@ def test_ngrams(spark):
     texts = ["a  bc", "🚀x🚀", "", "z", "Hi you, hi"]
     flat = [re.sub(r"\s\s+", " ", t) for t in texts]
     want = [sorted(t[i : i + n] for n in range(2, 6) for i in range(len(t) - n + 1)) for t in flat]
-    assert [sorted(g) for g in one(spark, tfidf.char_terms(F.col("t"), (2, 5)), texts)] == want
-    words = one(spark, tfidf.word_terms(F.col("t"), (1, 2)), ["Hi you, hi", "", "x"])
-    assert [sorted(w) for w in words] == [sorted(["hi", "you", ",", "hi", "hi you", "you ,", ", hi"]), [], ["x"]]
+
+    def grams(block, rows):
+        df = spark.createDataFrame(list(enumerate(rows)), "i int, t string")
+        return [sorted(r.g) for r in tfidf.with_terms(df, "t", block, "g").orderBy("i").collect()]
+
+    assert grams(tfidf.CHARS, texts) == want
+    words = grams(tfidf.WORDS, ["Hi you, hi", "", "x"])
+    assert words == [sorted(["hi", "you", ",", "hi", "hi you", "you ,", ", hi"]), [], ["x"]]
 
 
 def test_wall_clock_micros_ignore_the_zone(spark):
