@@ -10,6 +10,7 @@ from stylograph.functions import patterns as P
 from stylograph.functions import text as X
 from stylograph.functions.style import FEATURES, style_features
 from stylograph.operators import tfidf, tokens
+from stylograph.session import materialize
 
 from . import views as V
 from .registry import query
@@ -170,7 +171,8 @@ def _split_rows(spark, sf):
     from stylograph.operators.clean import assign_split
 
     rows = assign_split(V.answers(spark, sf)).select("row_id", "split", "output")
-    return rows, F.col("split") == "train"
+    # read by the fit, by the row count and by the weighing
+    return materialize(rows, "texts"), F.col("split") == "train"
 
 
 def _per_term(weights):
