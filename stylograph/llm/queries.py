@@ -7,16 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, sharding
+from . import bitslice, minhash, mixing, packing, quality, sharding
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix": mixing.op3_mix,
+    "op4_near_duplicates": minhash.op4_near_duplicates,
     "op5_shard": sharding.op5_shard,
+    "op7_topk": bitslice.op7_topk,
     "op8_pack": packing.op8_pack,
+    "op9_quality": quality.op9_quality,
 }
-SQL: dict[str, str] = {"op3_mix": mixing.OP3_SQL}
+SQL: dict[str, str] = {"op3_mix": mixing.OP3_SQL, "op7_topk": bitslice.OP7_SQL}
 
 
 def importable(spark: SparkSession) -> None:
