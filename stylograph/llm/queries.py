@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitslice, minhash, mixing, packing, quality, sharding
+from . import bitslice, minhash, mixing, packing, privacy, quality, secrets, sharding
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -15,9 +15,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix": mixing.op3_mix,
     "op4_near_duplicates": minhash.op4_near_duplicates,
     "op5_shard": sharding.op5_shard,
+    "op6_secrets": secrets.op6_secrets,
     "op7_topk": bitslice.op7_topk,
     "op8_pack": packing.op8_pack,
     "op9_quality": quality.op9_quality,
+    "op10_privacy": privacy.op10_privacy,
 }
 SQL: dict[str, str] = {"op3_mix": mixing.OP3_SQL, "op7_topk": bitslice.OP7_SQL}
 
