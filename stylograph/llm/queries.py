@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitslice, minhash, mixing, packing, privacy, quality, secrets, sharding
+from . import bitslice, lines, minhash, mixing, packing, privacy, quality, secrets, sharding, training_order
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lines": lines.op1_lines,
+    "op2_training_order": training_order.op2_training_order,
     "op3_mix": mixing.op3_mix,
     "op4_near_duplicates": minhash.op4_near_duplicates,
     "op5_shard": sharding.op5_shard,
