@@ -34,6 +34,7 @@ from . import words as V
 TRAINING_ROWS = 4_000
 CELLS = 1 << 14
 BLOCKS = 4
+ROWS_AT_ONCE = 1_000  # rows of an Arrow batch turned into Python texts at a time
 KEEP = 0.5  # least calibrated probability of good quality
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of the words
@@ -135,22 +136,25 @@ def judged(batch_texts: list[str | None], model: Model | None, keep: float) -> d
     return {name: np.concatenate([p[name] for p in parts]) if parts else np.empty(0) for name, _, _ in RESULTS}
 
 
-def score(docs: DataFrame, model: Model | None, text: str = "text", keep: float = KEEP) -> DataFrame:
-    """All columns of ``docs`` (but for names of results) with the counts and verdicts."""
+def score(
+    docs: DataFrame, model: Model | None, text: str = "text", keep: float = KEEP, passing: list[str] | None = None
+) -> DataFrame:
+    """The passing columns of ``docs`` (all by default, but for names of results) with the counts and verdicts."""
     taken = {name for name, _, _ in RESULTS}
-    passing = [f for f in docs.schema.fields if f.name.lower() not in taken]
-    schema = T.StructType(list(passing))
+    names = [c for c in (passing or docs.columns) if c.lower() not in taken]
+    schema = T.StructType([docs.schema[c] for c in names])
     for name, _, kind in RESULTS:
         schema = schema.add(name, kind)
-    names = [f.name for f in passing]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = judged(batch.column("_text").to_pylist(), model, keep)
-            made = [pa.array(found[name], kind) for name, kind, _ in RESULTS]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + made, names=names + [name for name, _, _ in RESULTS]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                found = judged(batch.column("_text").to_pylist(), model, keep)
+                made = [pa.array(found[name], kind) for name, kind, _ in RESULTS]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n) for n in names] + made, names=names + [name for name, _, _ in RESULTS]
+                )
 
     rows = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).alias("_text"))
     return rows.mapInArrow(run, schema)
@@ -229,14 +233,21 @@ def fit(
     return Model(weights, float(fitted.intercept), slope, shift)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", keep: float = KEEP) -> DataFrame:
     """The documents that the rules keep, with the columns they came with."""
-    model = fit(docs, labels)
-    rows = docs.select(C.packed(docs), F.col("text").alias("text"))
-    return score(rows, model, **options).filter("kept").select("_row.*")
+    model = fit(docs, labels, text)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                yield batch.filter(pa.array(judged(batch.column(at).to_pylist(), model, keep)["kept"], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_quality(spark, sf_dir):
     docs = C.documents(spark, sf_dir).select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs.select("doc_id", "text"), model).drop("text")
+    return score(docs, model, passing=["doc_id"])

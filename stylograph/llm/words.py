@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 
-STRETCH = 2_000_000  # bytes of text turned into arrays at a time
+STRETCH = 500_000  # bytes of text turned into arrays at a time
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
