@@ -76,7 +76,7 @@ def signature(tokens: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, text: str, doc_id: str, width: int) -> DataFrame:
-    """(doc_id, n, set, signature); ``set`` is a hash of all shingles, null for the empty set."""
+    """(doc_id, key, n, set, sign); ``set`` is a hash of all shingles, null for the empty set, ``key`` one of doc_id and text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -86,10 +86,12 @@ def signed(docs: DataFrame, text: str, doc_id: str, width: int) -> DataFrame:
                 key.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63 if len(tokens) else None)
                 signs.append(signature(tokens).tobytes() if len(tokens) else None)
             keys = pd.Series(key, dtype="Int64", index=batch.index)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n": n, "set": keys, "sign": signs})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "n": n, "set": keys, "sign": signs})
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n long, set long, sign binary")
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(doc_id, text).alias("key"), F.col(text).alias("text")
+    )
+    return rows.mapInPandas(run, "doc_id long, key long, n long, set long, sign binary")
 
 
 def _step(path: np.ndarray, signs: np.ndarray, salt: int) -> np.ndarray:
@@ -151,7 +153,7 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    holders = classes.join(wanted, "set", "left_semi").select(F.col("doc_id").alias("_holder"))
+    holders = classes.join(wanted, "set", "left_semi").select(F.col("first.doc_id").alias("_holder"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = texts.join(holders, F.col("doc_id").eqNullSafe(F.col("_holder")), "left_semi")
 
@@ -179,14 +181,15 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
     return pairs.join(a, "a").join(b, "b").mapInPandas(compare, "a long, b long")
 
 
-def near_duplicates(
+def grouped(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
     percent: int = PERCENT, recall: float = RECALL, levels: int = LEVELS, small: int = SMALL, deepest: int = DEEPEST,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): a row per document."""
+    """(doc_id, key, n, first): a row per document; ``first`` is the smallest document of its group, null if it has no set."""
     rows = materialize(signed(docs, text, doc_id, width), "signed")
     classes = rows.filter("set is not null").groupBy("set").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sign").alias("sign")
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"),
+        F.first("n").alias("n"), F.first("sign").alias("sign"),
     )
     classes = materialize(classes, "classes")
     trees = trees_for(recall, percent / 100, levels)
@@ -240,23 +243,30 @@ def near_duplicates(
     if not more.isEmpty():
         groups = components(found.unionByName(more))
 
-    ids = classes.select("set", "doc_id").join(groups.withColumnRenamed("item", "set"), "set", "left")
+    ids = classes.select("set", "first").join(groups.withColumnRenamed("item", "set"), "set", "left")
     ids = ids.withColumn("root", F.coalesce("root", "set"))
-    smallest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_set = ids.join(smallest, "root").select(F.col("set").alias("_set"), "component_id")
-    out = rows.join(by_set, F.col("set") == F.col("_set"), "left")
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    smallest = ids.groupBy("root").agg(F.min("first").alias("first"))
+    by_set = ids.select("set", "root").join(smallest, "root").select(F.col("set").alias("_set"), "first")
+    return rows.join(by_set, F.col("set") == F.col("_set"), "left").select("doc_id", "key", "n", "first")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): a row per document; ``options`` as for ``grouped``."""
+    rows = grouped(docs, text, doc_id, **options)
+    component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    kept = F.col("first").isNull() | F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents without near duplicates: of each group the one with the smallest id, once."""
-    told = near_duplicates(docs, text, doc_id, **options)
-    gone = told.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
-    return rows
+    told = grouped(docs, text, doc_id, **options).filter("first is not null")
+    told = told.groupBy("key").agg(F.first(F.col("key") == F.col("first.key")).alias("_first"))
+    rows = docs.select(C.packed(docs), F.xxhash64(doc_id, text).alias("_key"))
+    rows = rows.join(told, F.col("_key") == F.col("key"), "left")
+    # rows equal in doc_id and text are told apart by their number only
+    rows = rows.withColumn("_copy", F.row_number().over(W.partitionBy("_key").orderBy("_key")))
+    return rows.filter(F.col("_first").isNull() | (F.col("_first") & (F.col("_copy") == 1))).select("_row.*")
 
 
 def op4_near_duplicates(spark, sf_dir):
