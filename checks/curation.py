@@ -49,6 +49,53 @@ def scan_battles(spark, sf):
     )
 
 
+LISTED = '[{"name": "x", "age": 3}]'  # a prompt that is a JSON list, as plain text
+
+
+def _sql_said(place: int) -> str:
+    said = V.sql_message_text(f"conversation_a[{place}]")
+    return f"CASE WHEN conversation_a IS NOT NULL THEN {said} END"
+
+
+@query(
+    "scan_battles_raw",
+    f"""WITH {V.BATTLES} SELECT id, model_a, CAST(coalesce(len(conversation_a), -1) AS INT) AS turns,
+      conversation_a[1].role AS role, CASE WHEN id LIKE '%0' AND conversation_a IS NOT NULL THEN '{LISTED}' ELSE {_sql_said(1)} END AS asked,
+      {_sql_said(2)} AS answered, is_code, {V.sql_flag('math')} AS math FROM battles""",
+)
+def scan_battles_raw(spark, sf):
+    """Battles written as JSON lines, message content as a string or a list, and read back."""
+    battles = V.battles(spark, sf)
+
+    def plain(text):
+        return F.regexp_replace(F.to_json(F.array(text)), r"^\[|\]$", "")
+
+    def message(m, i):
+        listed = F.coalesce(F.col("id").endswith("0"), F.lit(False)) & (i == 0)
+        text = F.when(listed, F.lit(LISTED)).otherwise(m["content_text"])
+        content = F.when(m["content_parts"].isNotNull(), F.to_json(m["content_parts"])).otherwise(plain(text))
+        return F.concat(F.lit('{"role":'), plain(m["role"]), F.lit(',"content":'), content, F.lit("}"))
+
+    talk = F.concat(F.lit("["), F.array_join(F.transform("conversation_a", message), ","), F.lit("]"))
+    rest = F.to_json(F.struct("id", "model_a", "category_tag", "is_code"))
+    line = F.concat(F.lit('{"conversation_a":'), F.coalesce(talk, F.lit("null")), F.lit(","), F.substr(rest, F.lit(2)))
+    path = new_path(spark, "battles-raw")
+    battles.select(line.alias("value")).write.text(path)
+    read = tables.battles_from_raw_json(spark.read.text(path))
+    first, second = F.get("conversation_a", F.lit(0)), F.get("conversation_a", F.lit(1))
+
+    def said(m):
+        text = X.message_text(m["content_text"], m["content_parts"])
+        return F.when(F.col("conversation_a").isNotNull(), text)
+
+    kind = read.schema["category_tag"].dataType
+    return read.select(
+        "id", "model_a", F.coalesce(F.size("conversation_a"), F.lit(-1)).alias("turns"), first["role"].alias("role"),
+        said(first).alias("asked"), said(second).alias("answered"), "is_code",
+        X.nested_flag("category_tag", kind, "math").alias("math"),
+    )
+
+
 @query(
     "inspect_source",
     f"""WITH {V.BATTLES}, both_sides AS (SELECT model_a AS model FROM battles UNION ALL SELECT model_b FROM battles)

@@ -115,19 +115,15 @@ def breakdown(spark, sf):
     return evaluate.breakdown(V.predictions(spark, sf), ["domain", "is_reasoning", "refusal"], RUN)
 
 
-ONE_RUN = "kind = 'linear' AND seed = 0"
-
-
 @query(
     "breakdown_length_quartile",
-    f"""WITH {V.PREDICTIONS}, one AS (SELECT * FROM predictions WHERE {ONE_RUN}),
-      cuts AS (SELECT quantile_cont(length, [0.25, 0.5, 0.75]) AS c FROM one)
-    SELECT CASE WHEN length <= c[1] THEN 'Q1 short' WHEN length <= c[2] THEN 'Q2'
+    f"""WITH {V.PREDICTIONS}, cuts AS (SELECT kind, seed, quantile_cont(length, [0.25, 0.5, 0.75]) AS c FROM predictions GROUP BY ALL)
+    SELECT kind, seed, CASE WHEN length <= c[1] THEN 'Q1 short' WHEN length <= c[2] THEN 'Q2'
         WHEN length <= c[3] THEN 'Q3' ELSE 'Q4 long' END AS quartile,
-      {R4.format(f'avg({HIT})')} AS accuracy, count(*) AS n FROM one CROSS JOIN cuts GROUP BY ALL""",
+      {R4.format(f'avg({HIT})')} AS accuracy, count(*) AS n FROM predictions JOIN cuts USING (kind, seed) GROUP BY ALL""",
 )
 def breakdown_length_quartile(spark, sf):
-    return evaluate.breakdown_length_quartile(V.predictions(spark, sf).filter(ONE_RUN), "length")
+    return evaluate.breakdown_length_quartile(V.predictions(spark, sf), "length", RUN)
 
 
 @query(
@@ -143,11 +139,11 @@ def length_quartile(spark, sf):
 
 @query(
     "breakdown_model",
-    f"""WITH {V.PREDICTIONS} SELECT model, {R4.format(f'avg({HIT})')} AS accuracy, count(*) AS n
-    FROM predictions WHERE {ONE_RUN} GROUP BY model""",
+    f"""WITH {V.PREDICTIONS} SELECT kind, seed, model, {R4.format(f'avg({HIT})')} AS accuracy, count(*) AS n
+    FROM predictions GROUP BY ALL""",
 )
 def breakdown_model(spark, sf):
-    return evaluate.breakdown_model(V.predictions(spark, sf).filter(ONE_RUN))
+    return evaluate.breakdown_model(V.predictions(spark, sf), by=RUN)
 
 
 ACCURACY = f'acc AS (SELECT kind, seed, avg({HIT}) AS accuracy FROM predictions GROUP BY ALL)'
@@ -401,21 +397,21 @@ def proportion_test(spark, sf):
 
 @query(
     "within_class_spread",
-    f"""WITH {V.PREDICTIONS}, m AS (SELECT "true" AS family, model, {R4.format(f'avg({HIT})')} AS accuracy, count(*) AS n
-        FROM predictions WHERE {ONE_RUN} GROUP BY ALL HAVING count(*) >= 20),
-      r AS (SELECT *, row_number() OVER (PARTITION BY family ORDER BY accuracy DESC, model DESC) AS b,
-        row_number() OVER (PARTITION BY family ORDER BY accuracy, model) AS w FROM m)
-    SELECT family, count(*) AS models, max(model) FILTER (b = 1) AS best, max(accuracy) AS best_accuracy,
+    f"""WITH {V.PREDICTIONS}, m AS (SELECT kind, seed, "true" AS family, model, {R4.format(f'avg({HIT})')} AS accuracy, count(*) AS n
+        FROM predictions GROUP BY ALL HAVING count(*) >= 20),
+      r AS (SELECT *, row_number() OVER (PARTITION BY kind, seed, family ORDER BY accuracy DESC, model DESC) AS b,
+        row_number() OVER (PARTITION BY kind, seed, family ORDER BY accuracy, model) AS w FROM m)
+    SELECT kind, seed, family, count(*) AS models, max(model) FILTER (b = 1) AS best, max(accuracy) AS best_accuracy,
       max(model) FILTER (w = 1) AS worst, min(accuracy) AS worst_accuracy, max(accuracy) - min(accuracy) AS gap
-    FROM r GROUP BY family""",
+    FROM r GROUP BY kind, seed, family""",
 )
 def within_class_spread(spark, sf):
-    preds = V.predictions(spark, sf).filter(ONE_RUN)
-    by_model = preds.groupBy(F.col("true").alias("family"), "model").agg(
+    preds = V.predictions(spark, sf)
+    by_model = preds.groupBy(*RUN, F.col("true").alias("family"), "model").agg(
         F.avg(evaluate.correct()).alias("accuracy"), F.count("*").alias("n")
     )
     by_model = by_model.withColumn("accuracy", evaluate.round_even(F.col("accuracy"), 4))
-    return compare.within_class_spread(by_model)
+    return compare.within_class_spread(by_model, by=RUN)
 
 
 # Domains stand for variants here; the first seed is the test-time score, the others are refits.
@@ -426,7 +422,7 @@ def within_class_spread(spark, sf):
       t AS (SELECT model, variant, avg(accuracy) FILTER (kind = 'refit') AS refit_mean,
         stddev_pop(accuracy) FILTER (kind = 'refit') AS refit_std, avg(accuracy) FILTER (kind = 'test_time') AS test_time FROM a GROUP BY ALL)
     SELECT t.*, t.refit_mean - b.refit_mean AS refit_change, t.test_time - b.test_time AS test_time_change
-    FROM t JOIN t b ON b.model = t.model AND b.variant = 'general'""",
+    FROM t LEFT JOIN t b ON b.model = t.model AND b.variant = 'general'""",
 )
 def ablation_table(spark, sf):
     scores = evaluate.accuracy_n(V.predictions(spark, sf), [*RUN, "domain"])

@@ -1,6 +1,6 @@
 """Fitted models and what they use.
 
-Fits have no SQL twin; they run on all rows, with the quick settings.  Term and token reports are
+Fits have no SQL twin; they run on all rows, at the operators' own settings.  Term and token reports are
 checked on a weight table that SQL can build.
 """
 
@@ -23,7 +23,7 @@ MODES = ["input", "output", "both"]
 
 
 def _grid(spark, name: str) -> E.Grid:
-    return E.Grid(new_path(spark, name), settings=E.QUICK)
+    return E.Grid(new_path(spark, name))
 
 
 def _processed(spark, sf):
@@ -39,28 +39,28 @@ def _scores(preds, labels=P.FAMILIES, by=("test_set",)):
 @query("fit_linear_text")
 def fit_linear_text(spark, sf):
     train, val, test = E.split_parts(_processed(spark, sf))
-    clf = learn.fit_linear_text(train, P.FAMILIES, "output", max_iter=E.QUICK.max_iter)
+    clf = learn.fit_linear_text(train, P.FAMILIES, "output")
     return _scores(learn.score(clf, {"val": val, "test": test}))
 
 
 @query("fit_style_trees")
 def fit_style_trees(spark, sf):
     train, _, test = E.split_parts(_processed(spark, sf))
-    clf = learn.fit_style_trees(train, P.FAMILIES, rounds=E.QUICK.style_rounds, depth=E.QUICK.depth)
+    clf = learn.fit_style_trees(train, P.FAMILIES)
     return _scores(learn.score(clf, {"test": test}))
 
 
 @query("fit_time_trees")
 def fit_time_trees(spark, sf):
     train, _, test = E.split_parts(_processed(spark, sf))
-    clf = learn.fit_time_trees(train, P.FAMILIES, rounds=E.QUICK.time_rounds, depth=E.QUICK.depth)
+    clf = learn.fit_time_trees(train, P.FAMILIES)
     return _scores(learn.score(clf, {"test": test}))
 
 
 @query("predict_batch")
 def predict_batch(spark, sf):
     train, _, test = E.split_parts(_processed(spark, sf))
-    clf = learn.fit_linear_text(train, P.FAMILIES, "input", max_iter=E.QUICK.max_iter)
+    clf = learn.fit_linear_text(train, P.FAMILIES, "input")
     preds = learn.score(clf, {"test": test})
     return preds.withColumn("probs", F.to_json("probs"))
 
@@ -81,7 +81,7 @@ def compare_fields(spark, sf):
 
 @query("transfer_eval")
 def transfer_eval(spark, sf):
-    preds = E.transfer_eval(_grid(spark, "transfer"), _processed(spark, sf), ["code", "math"])
+    preds = E.transfer_eval(_grid(spark, "transfer"), _processed(spark, sf), V.DOMAINS)
     return evaluate.accuracy_n(preds, ["domain", "condition"])
 
 
@@ -109,13 +109,13 @@ def top_class_terms_fitted(spark, sf):
 # ---- reports over weight tables -----------------------------------------------------------------
 
 # Share of a token's uses that fall in texts of a family.
-SQL_WEIGHTS = f"""tokens AS (SELECT row_id, family AS label, unnest({sql_word_tokens('output')}[1:400]) AS token FROM answers),
+SQL_WEIGHTS = f"""tokens AS (SELECT row_id, family AS label, unnest({sql_word_tokens('output')}) AS token FROM answers),
   weights AS (SELECT label, token, count(*) / any_value(n) AS weight
     FROM tokens JOIN (SELECT token, count(*) AS n FROM tokens GROUP BY token) USING (token) GROUP BY label, token)"""
 
 
 def _weights(rows):
-    tokens = F.slice(X.word_tokens("output"), 1, 400)
+    tokens = X.word_tokens("output")
     counts = rows.select(F.col("family").alias("label"), F.explode(tokens).alias("token"))
     counts = counts.groupBy("label", "token").agg(F.count("*").alias("_n"))
     totals = counts.groupBy("token").agg(F.sum("_n").alias("_all"))
@@ -152,7 +152,7 @@ def token_saliency(spark, sf):
 def token_saliency_fitted(spark, sf):
     rows = _processed(spark, sf)
     train, _, test = E.split_parts(rows)
-    clf = learn.fit_linear_text(train, P.FAMILIES, "output", max_iter=E.QUICK.max_iter)
+    clf = learn.fit_linear_text(train, P.FAMILIES, "output")
     weights = explain.coefficient_table(spark, clf).filter("block = 'word'")
     positive = weights.select("label", F.col("term").alias("token"), F.greatest("weight", F.lit(0.0)).alias("weight"))
-    return explain.token_saliency(test, positive, "row_id", min_count=5)
+    return explain.token_saliency(test, positive, "row_id")

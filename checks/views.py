@@ -14,7 +14,7 @@ from stylograph.functions import patterns as P
 from stylograph.functions import text as X
 from stylograph.functions.hashing import bucket, content_key
 from stylograph.operators import clean
-from stylograph.sources.tables import spread
+from stylograph.operators.skew import by_row
 
 MODELS = [
     "gpt-4.1", "claude-opus-4-thinking-16k", "gemini-2.5-pro", "Llama-4-scout", "qwen3-235b-a22b",
@@ -23,6 +23,8 @@ MODELS = [
     "magistral-medium-2506", "Grok-3-mini-beta", "gpt-oss-120b", "o3-2025-04-16", "gemma-3",
     "mixtral-8x7b",
 ]
+# answers have a family, each of them
+KNOWN = [m for m in MODELS if m not in ("gpt-oss-120b", "gemma-3")]
 DOMAINS = ["code", "math", "creative_writing", "general"]
 
 # (before, after) the text of a document
@@ -95,8 +97,8 @@ def sql_prompt(text: str, doc_id: str = "doc_id") -> str:
     return f"CASE WHEN ({doc_id} // 20) % 7 = 0 THEN {quote(NAMING)} ELSE '' END || left({text}, 60)"
 
 
-def sql_model(source: str = "source") -> str:
-    return f"{sql_list(MODELS)}[CAST(substr({source}, 4) AS INT) % {len(MODELS)} + 1]"
+def sql_model(source: str = "source", models: list[str] = MODELS) -> str:
+    return f"{sql_list(models)}[CAST(substr({source}, 4) AS INT) % {len(models)} + 1]"
 
 
 def sql_family(model: str) -> str:
@@ -147,10 +149,10 @@ def sql_row_digest(*cols: str) -> str:
 
 
 def answers(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    docs = by_row(table(spark, sf, "documents").select("doc_id", "text", "source"), "doc_id")
     events = table(spark, sf, "events").select("event_id", "ts")
     rows = docs.join(events, docs.doc_id == events.event_id)
-    model = _pick(MODELS, _source_no() % len(MODELS))
+    model = _pick(KNOWN, _source_no() % len(KNOWN))
     rows = rows.select(
         F.col("doc_id").alias("row_id"),
         model.alias("model"),
@@ -159,20 +161,19 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
         prompt(F.col("text")).alias("input"),
         dressed(F.expr("substring(text, 61)")).alias("output"),
     )
-    rows = rows.withColumn("family", X.label_by_pattern("model")).filter(F.col("family").isNotNull())
     return rows.withColumns(
-        {"prompt_id": content_key("input"), "is_reasoning": X.is_reasoning("model")}
+        {"family": X.label_by_pattern("model"), "prompt_id": content_key("input"), "is_reasoning": X.is_reasoning("model")}
     )
 
 
 ANSWERS = f"""answers AS (
   SELECT *, substr(md5(input), 1, 16) AS prompt_id, {sql_reasoning('model')} AS is_reasoning
   FROM (
-    SELECT doc_id AS row_id, {sql_model()} AS model, {sql_family(sql_model())} AS family,
+    SELECT doc_id AS row_id, {sql_model(models=KNOWN)} AS model, {sql_family(sql_model(models=KNOWN))} AS family,
       {sql_list(DOMAINS)}[(doc_id // 80) % 4 + 1] AS domain, ts AS timestamp,
       {sql_prompt('text')} AS input, {sql_dressed('substr(text, 61)')} AS output
     FROM documents JOIN events ON event_id = doc_id
-  ) WHERE family IS NOT NULL
+  )
 )"""
 
 
@@ -218,7 +219,7 @@ SPLIT_CASE = (
 
 
 def battles(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+    docs = by_row(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     events = table(spark, sf, "events").select(F.col("event_id").alias("k"), "ts")
     side_b = docs.select(
         (F.col("doc_id") - 1).alias("k"), F.col("source").alias("source_b"),

@@ -82,11 +82,11 @@ def split_sizes(rows: DataFrame, split: str = "split") -> DataFrame:
 def matched_pair(
     rows: DataFrame, row_id, key: str = "prompt_id", label: str = "family"
 ) -> DataFrame:
-    """Adds ``matched_pair``: the key was answered by exactly two labels."""
+    """Adds ``matched_pair``: the key was answered by exactly two labels.  Null labels do not count, null keys have no pair."""
     # (key, label) first: copies and hot keys collapse on the map side
     per_label = rows.groupBy(key, label).agg(F.count("*").alias("_rows"))
     totals = per_label.groupBy(key).agg(
-        F.count("*").alias("_labels"), F.sum("_rows").alias("_rows")
+        F.count(label).alias("_labels"), F.sum("_rows").alias("_rows")
     )
     found = lookup_by_key(rows, totals, key, "_rows", row_id)
-    return found.withColumn("matched_pair", F.col("_labels") == 2).drop("_labels", "_rows")
+    return found.withColumn("matched_pair", F.coalesce(F.col("_labels") == 2, F.lit(False))).drop("_labels", "_rows")

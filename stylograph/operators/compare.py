@@ -183,15 +183,15 @@ def proportion_test(scores: DataFrame, p0: float) -> DataFrame:
     return scores.withColumn("p_value", proportion_p_value(F.col("accuracy"), F.col("n"), p0))
 
 
-def within_class_spread(by_model: DataFrame, minimum: int = 20) -> DataFrame:
-    """Per family: models with enough rows, the best and worst of them and their gap."""
+def within_class_spread(by_model: DataFrame, minimum: int = 20, by: list[str] = ()) -> DataFrame:
+    """Per run and family: models with enough rows, the best and worst of them and their gap."""
     best_first = F.struct("accuracy", F.col("model"))
     kept = by_model.filter(F.col("n") >= minimum)
-    ends = kept.groupBy("family").agg(
+    ends = kept.groupBy(*by, "family").agg(
         F.count("*").alias("models"), F.max(best_first).alias("_b"), F.min(best_first).alias("_w")
     )
     return ends.select(
-        "family", "models", F.col("_b.model").alias("best"), F.col("_b.accuracy").alias("best_accuracy"),
+        *by, "family", "models", F.col("_b.model").alias("best"), F.col("_b.accuracy").alias("best_accuracy"),
         F.col("_w.model").alias("worst"), F.col("_w.accuracy").alias("worst_accuracy"),
         (F.col("_b.accuracy") - F.col("_w.accuracy")).alias("gap"),
     )
@@ -212,7 +212,8 @@ def ablation_table(scores: DataFrame, baseline: str = "none") -> DataFrame:
     base = table.filter(F.col("variant") == baseline).select(
         "model", F.col("refit_mean").alias("_r"), F.col("test_time").alias("_t")
     )
-    return table.join(base, "model").select(
+    # a model without the baseline variant has no changes to show
+    return table.join(base, "model", "left").select(
         "model", "variant", "refit_mean", "refit_std", "test_time",
         (F.col("refit_mean") - F.col("_r")).alias("refit_change"),
         (F.col("test_time") - F.col("_t")).alias("test_time_change"),

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from ..functions import patterns as P
 from ..functions import text as X
 from ..functions.hashing import content_key, row_digest, seeded_digest
 from ..functions.stats import round_even
-from .skew import lowest_per_group
+from .skew import lookup_by_key, lowest_per_group
 
 SEED = 448
 ROW_KEY = ["battle_id", "side"]
@@ -72,17 +73,20 @@ def turns_to_conversations(
 ) -> DataFrame:
     """Single-turn pairs out of a table with one row per turn.
 
-    Of two turns the first is the least and the second the greatest, so count, min and max are all
-    that is aggregated; a conversation with very many turns never becomes one long list.
+    Of two turns the first is the least and the second the greatest, so count, least and greatest of
+    position and role are all that is aggregated; texts of the conversations that qualify are joined.
     """
-    turn = F.struct(F.col(position), F.col(role), F.col(text))
-    pairs = turns.groupBy(key).agg(
-        F.count("*").alias("_n"), F.min(turn).alias("_u"), F.max(turn).alias("_a")
-    )
-    ok = (F.col("_n") == 2) & (F.col(f"_u.{role}") == "user") & (F.col(f"_a.{role}") == "assistant")
-    return pairs.filter(ok).select(
-        key, X.strip(f"_u.{text}").alias("input"), X.strip(f"_a.{text}").alias("output")
+    turn = F.struct(F.col(position).alias("at"), F.col(role).alias("role"))
+    ends = turns.groupBy(key).agg(F.count("*").alias("_n"), F.min(turn).alias("_u"), F.max(turn).alias("_a"))
+    ok = (F.col("_n") == 2) & (F.col("_u.role") == "user") & (F.col("_a.role") == "assistant")
+    found = ends.filter(ok & (F.col("_u.at") < F.col("_a.at"))).select(
+        F.col(key).alias("_key"), F.col("_u.at").alias("_first"), F.col("_a.at").alias("_last")
     )
+    theirs = turns.select(F.col(key), F.col(position).alias("_at"), X.strip(text).alias("_text"))
+    theirs = theirs.join(found, F.col(key) == F.col("_key"))
+    asked = theirs.filter(F.col("_at") == F.col("_first")).select(key, F.col("_text").alias("input"))
+    answered = theirs.filter(F.col("_at") == F.col("_last")).select(key, F.col("_text").alias("output"))
+    return asked.join(answered, key)
 
 
 def filter_lengths(
@@ -110,13 +114,20 @@ def describe_rows(rows: DataFrame) -> DataFrame:
 def dedup_exact(rows: DataFrame, same: list[str], order: list[str]) -> DataFrame:
     """The first row, by ``order``, of every set of rows equal in ``same``.
 
-    Rows meet by a digest of ``same``.  Copies collapse before the shuffle, one row per text and
-    task, so a text copied a billion times costs no more than any other.
+    Only digests and order keys are aggregated, never texts.  Digests that occur once need no look; the
+    others are looked up by the rows that have them, a digest with very many copies by broadcast.  Among rows equal in
+    ``order`` too, one stays.
     """
-    whole = F.struct(*[F.col(c) for c in rows.columns])
-    keyed = rows.select(row_digest(*same).alias("_digest"), whole.alias("_row"))
-    order_key = F.struct(*[F.col(f"_row.{c}") for c in order])
-    return keyed.groupBy("_digest").agg(F.min_by("_row", order_key).alias("_row")).select("_row.*")
+    keyed = rows.select("*", row_digest(*same).alias("_digest"), row_digest(*order).alias("_order"))
+    first = F.struct(*[F.col(c) for c in order], "_order")
+    copies = keyed.groupBy("_digest").agg(F.count("*").alias("_copies"), F.min(first)["_order"].alias("_least"))
+    told = lookup_by_key(keyed, copies.filter("_copies > 1"), "_digest", "_copies", "_order")
+    once = told.filter(F.col("_copies").isNull())
+    # of a set of copies only the least ones get here, so a set is one or a few rows
+    least = told.filter(F.col("_order") == F.col("_least"))
+    place = F.row_number().over(Window.partitionBy("_digest").orderBy("_order"))
+    chosen = least.withColumn("_place", place).filter("_place = 1").select(*rows.columns)
+    return once.select(*rows.columns).unionByName(chosen)
 
 
 def class_counts(rows: DataFrame, label: str = "family") -> DataFrame:

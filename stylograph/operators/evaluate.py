@@ -126,12 +126,12 @@ def length_quartile(rows: DataFrame, length: str, name: str = "quartile") -> Dat
     return rows.crossJoin(F.broadcast(cuts)).withColumn(name, label).drop("_cuts")
 
 
-def breakdown_length_quartile(preds: DataFrame, length: str) -> DataFrame:
-    """Accuracy by quartile of length, over the rows of one run and test set."""
-    counts = preds.groupBy(length).agg(F.sum(correct()).alias("_hits"), F.count("*").alias("_n"))
+def breakdown_length_quartile(preds: DataFrame, length: str, by: list[str] = ()) -> DataFrame:
+    """Accuracy by quartile of length; every run named by ``by`` has its own cut points."""
+    counts = preds.groupBy(*by, length).agg(F.sum(correct()).alias("_hits"), F.count("*").alias("_n"))
     q = F.percentile(length, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n"))
     # distinct lengths only: the cut points and the bins both come from this small table
-    cuts = counts.agg(q.alias("_cuts"))
+    cuts = counts.groupBy(*by).agg(q.alias("_cuts"))
     x = F.col(length)
     label = (
         F.when(x <= F.col("_cuts")[0], QUARTILES[0])
@@ -139,13 +139,15 @@ def breakdown_length_quartile(preds: DataFrame, length: str) -> DataFrame:
         .when(x <= F.col("_cuts")[2], QUARTILES[2])
         .otherwise(QUARTILES[3])
     )
-    binned = counts.crossJoin(F.broadcast(cuts)).withColumn("quartile", label)
+    # a row of cut points per run
+    joined = counts.join(cuts, list(by)) if by else counts.crossJoin(F.broadcast(cuts))
+    binned = joined.withColumn("quartile", label)
     share = F.sum("_hits") / F.sum("_n")
-    return binned.groupBy("quartile").agg(round_even(share, 4).alias("accuracy"), F.sum("_n").alias("n"))
+    return binned.groupBy(*by, "quartile").agg(round_even(share, 4).alias("accuracy"), F.sum("_n").alias("n"))
 
 
-def breakdown_model(preds: DataFrame, model: str = "model") -> DataFrame:
-    return preds.groupBy(model).agg(
+def breakdown_model(preds: DataFrame, model: str = "model", by: list[str] = ()) -> DataFrame:
+    return preds.groupBy(*by, model).agg(
         round_even(F.avg(correct()), 4).alias("accuracy"), F.count("*").alias("n")
     )
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import (
+    GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest, OneVsRestModel, RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.style import FEATURES, style_features
@@ -19,6 +22,10 @@ from .tfidf import CHARS, WORDS, Block, FittedBlock, as_vectors, fit_blocks
 
 TIME_FEATURES = ["day", "hour"]
 PARALLEL_FITS = 4
+MODELS = {m.__name__: m for m in (LogisticRegressionModel, OneVsRestModel, RandomForestClassificationModel)}
+ABOUT = "kind string, labels array<string>, mode string, features array<string>"
+BLOCKS = "offset int, name string, sizes array<int>, max_terms int, min_df int, terms array<string>, idf array<double>"
+FOREST_DEPTH, BOOSTED_DEPTH = 10, 5
 
 
 def label_index(labels: list[str], label: str = "family") -> Column:
@@ -42,6 +49,27 @@ class Classifier:
         return VectorAssembler(inputCols=self.features, outputCol="features").transform(df)
 
 
+    def save(self, path: str) -> None:
+        """The model by Spark ML's own writer, and beside it what it takes to score."""
+        self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.getActiveSession()
+        about = [(type(self.model).__name__, self.labels, self.mode, self.features)]
+        spark.createDataFrame(about, ABOUT).write.mode("overwrite").parquet(f"{path}/about")
+        blocks = [
+            (f.offset, f.block.name, list(f.block.sizes), f.block.max_terms, f.block.min_df, f.terms, f.idf) for f in self.blocks
+        ]
+        spark.createDataFrame(blocks, BLOCKS).write.mode("overwrite").parquet(f"{path}/blocks")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Classifier:
+        about = spark.read.parquet(f"{path}/about").first()
+        blocks = [
+            FittedBlock(Block(r.name, tuple(r.sizes), r.max_terms, r.min_df), r.terms, r.idf, r.offset)
+            for r in spark.read.schema(BLOCKS).parquet(f"{path}/blocks").orderBy("offset").collect()
+        ]
+        return cls(MODELS[about.kind].load(f"{path}/model"), about.labels, about.mode, about.features, blocks)
+
+
 def predict_batch(clf: Classifier, vectors: DataFrame, keep: list[str]) -> DataFrame:
     """(keep, pred, probs): class probabilities and the first class with the highest one."""
     scored = clf.model.transform(vectors)
@@ -68,7 +96,8 @@ def fit_linear_text(
     ``strength`` weighs the loss against half the squared coefficients, so Spark's penalty is
     1 / (strength * n).
     """
-    text = train.withColumn("_field", field_view(mode))
+    # the field is derived once: every block's terms and the vectors read it
+    text = materialize(train.select(label, field_view(mode).alias("_field")), "field")
     fitted = fit_blocks(text, "_field", blocks)
     vectors = as_vectors(text, "_field", fitted, [label])
     vectors = materialize(vectors.withColumn("label", label_index(labels, label)), "vectors")
@@ -90,31 +119,44 @@ def _fit_boosted(vectors: DataFrame, rounds: int, rate: float, depth: int, seed:
     return OneVsRest(classifier=trees, parallelism=PARALLEL_FITS).fit(vectors)
 
 
+def _fit_forest(vectors: DataFrame, trees: int, depth: int, seed: int) -> Model:
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxBins=64, featureSubsetStrategy="sqrt")
+    return forest.fit(vectors)
+
+
 def fit_trees(
     train: DataFrame, labels: list[str], features: list[str], label: str = "family", rounds: int = 300,
-    rate: float = 0.08, depth: int = 5, seed: int = 0,
+    rate: float = 0.08, depth: int | None = None, seed: int = 0, boosted: bool = False,
 ) -> Classifier:
-    """Boosted trees on numeric columns, one booster per class (Spark's booster knows two classes)."""
+    """A forest of ``rounds`` trees on numeric columns, all classes at once.
+
+    ``boosted`` fits one booster per class instead (Spark's booster knows two classes): as many jobs
+    in sequence as rounds times depth, for about the same accuracy.
+    """
     numbered = train.withColumn("label", label_index(labels, label)).select("label", *features)
     vectors = VectorAssembler(inputCols=features, outputCol="features").transform(numbered)
     vectors = materialize(vectors.select("label", "features"), "vectors")
-    return Classifier(_fit_boosted(vectors, rounds, rate, depth, seed), labels, features=features)
+    if boosted:
+        model = _fit_boosted(vectors, rounds, rate, depth or BOOSTED_DEPTH, seed)
+    else:
+        model = _fit_forest(vectors, rounds, depth or FOREST_DEPTH, seed)
+    return Classifier(model, labels, features=features)
 
 
 def fit_style_trees(
     train: DataFrame, labels: list[str], label: str = "family", text: str = "output", rounds: int = 300,
-    rate: float = 0.08, seed: int = 0, depth: int = 5,
+    rate: float = 0.08, seed: int = 0, depth: int | None = None, boosted: bool = False,
 ) -> Classifier:
-    """Boosted trees on the 27 style features alone."""
-    return fit_trees(style_features(train, text), labels, FEATURES, label, rounds, rate, depth, seed)
+    """Trees on the 27 style features alone."""
+    return fit_trees(style_features(train, text), labels, FEATURES, label, rounds, rate, depth, seed, boosted)
 
 
 def fit_time_trees(
     train: DataFrame, labels: list[str], label: str = "family", ts: str = "timestamp", rounds: int = 200,
-    rate: float = 0.1, seed: int = 0, depth: int = 5,
+    rate: float = 0.1, seed: int = 0, depth: int | None = None, boosted: bool = False,
 ) -> Classifier:
-    """Boosted trees on day and hour alone: a control for leakage through time."""
-    return fit_trees(time_features(train, ts), labels, TIME_FEATURES, label, rounds, rate, depth, seed)
+    """Trees on day and hour alone: a control for leakage through time."""
+    return fit_trees(time_features(train, ts), labels, TIME_FEATURES, label, rounds, rate, depth, seed, boosted)
 
 
 def score(

@@ -14,15 +14,6 @@ HOT_KEYS = 1_000  # keys handled by broadcast; any other key holds less than 1/H
 SALTS = 4_096
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """The table with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
-
-    Counting stops one row past the bound.  Without the hint the join shuffles, and adaptive
-    execution splits its skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def by_row(df: DataFrame, row_id: str) -> DataFrame:
     """Rows spread by id over the session's shuffle partitions.
 
@@ -47,8 +38,8 @@ def lookup_by_key(
     hot = totals.orderBy(F.desc(weight), key).limit(hot_keys)
     hot = hot.select(F.col(key), F.struct(*values).alias("_hot"))
     tagged = rows.join(F.broadcast(hot), key, "left")
-    # -1 meets the per-key table; salted rows match nothing there and need nothing from it
-    salt = F.when(F.col("_hot").isNull(), F.lit(-1)).otherwise(
+    # -1 meets the per-key table; salted rows match nothing there and need nothing from it, nor do null keys
+    salt = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.lit(-1)).otherwise(
         F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
     )
     # weights are 1 or more, so this is -1; a literal would be folded out of the join keys, and all

@@ -6,8 +6,9 @@ are then aggregates over that table; finished runs are found by key and not fitt
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,27 +17,24 @@ from ..functions import text as X
 from ..functions.style import FEATURES, style_features
 from ..operators import compare, evaluate, explain, learn, runs
 from ..operators.tfidf import CHARS, WORDS, Block
+from ..sources.tables import known_labels
 
 RUN = ["run_key", "kind", "field", "variant", "seed"]
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Model sizes.  ``QUICK`` is for smoke runs."""
+    """Model sizes."""
 
     max_iter: int = 2000
     strength: float = 4.0
     blocks: tuple[Block, ...] = (WORDS, CHARS)
     style_rounds: int = 300
     time_rounds: int = 200
-    depth: int = 5
+    depth: int | None = None
 
 
 FULL = Settings()
-QUICK = Settings(
-    max_iter=20, style_rounds=3, time_rounds=3, depth=3,
-    blocks=(Block("word", (1, 2), 5_000, 2), Block("char", (2, 5), 10_000, 3)),
-)
 
 
 @dataclass(frozen=True)
@@ -75,9 +73,25 @@ def fit(grid: Grid, run: Run, train: DataFrame) -> learn.Classifier:
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm)
-    return spark.read.parquet(path) if found else None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def with_known_labels(grid: Grid, rows: DataFrame) -> Grid:
+    """The grid with the labels that occur, in their given order."""
+    found = known_labels(rows, list(grid.labels), grid.label).orderBy("position").collect()  # a row per label
+    return replace(grid, labels=tuple(r[grid.label] for r in found))
+
+
+def columns_read(grid: Grid, run: Run) -> list[str]:
+    """What a run's fit and predictions depend on, after the run's text variant."""
+    fields = {"input": ["input"], "output": ["output"], "both": ["input", "output"]}
+    read = {"linear": fields.get(run.field, []), "style": ["output"], "time": [grid.ts]}[run.kind]
+    return [grid.row_id, grid.label, *read]
 
 
 def plan_runs(
@@ -85,23 +99,27 @@ def plan_runs(
 ) -> tuple[DataFrame, DataFrame]:
     """(all runs with their keys, those without stored results).  Tables of runs, a row per fit."""
     spark = train.sparkSession
-    columns = [grid.label, "input", "output"]
     parts = {"train": train, **tests}
-    prints = [
-        runs.dataset_fingerprint(df, columns).select(F.lit(name).alias("part"), "fingerprint")
-        for name, df in sorted(parts.items())
-    ]
-    together = prints[0]
-    for p in prints[1:]:
-        together = together.unionByName(p)
-    data = together.agg(
+    views = sorted({(r.variant, tuple(columns_read(grid, r))) for r in todo})
+    prints = None
+    for i, (variant, columns) in enumerate(views):
+        for name, df in sorted(parts.items()):
+            seen = X.ablate(df, variant) if variant != "none" else df
+            one = runs.dataset_fingerprint(seen, list(columns)).select(
+                F.lit(i).alias("view"), F.lit(name).alias("part"), "fingerprint"
+            )
+            prints = one if prints is None else prints.unionByName(one)
+    data = prints.groupBy("view").agg(
         F.md5(F.to_json(F.array_sort(F.collect_list(F.struct("part", "fingerprint"))))).alias("fingerprint")
     )
     settings = runs.params_text({**asdict(grid.settings), "labels": grid.labels})
-    rows = [(r.kind, r.field, r.variant, r.seed, settings) for r in todo]
-    table = spark.createDataFrame(rows, "kind string, field string, variant string, seed int, settings string")
-    keyed = runs.run_key(table.crossJoin(data), ["kind", "field", "variant", "seed", "settings"])
-    keyed = keyed.select(*RUN)
+    rows = [
+        (r.kind, r.field, r.variant, r.seed, settings, views.index((r.variant, tuple(columns_read(grid, r))))) for r in todo
+    ]
+    table = spark.createDataFrame(rows, "kind string, field string, variant string, seed int, settings string, view int")
+    keyed = runs.run_key(table.join(data, "view"), ["kind", "field", "variant", "seed", "settings"])
+    # a row per run: its key is worked out once
+    keyed = spark.createDataFrame(keyed.select(*RUN).collect(), keyed.select(*RUN).schema)
     done = _stored(spark, f"{grid.path}/runs")
     return keyed, keyed if done is None else runs.skip_done_runs(keyed, done)
 
@@ -119,15 +137,22 @@ def experiment_grid(
     for row in missing.collect():  # runs, not data rows
         run = Run(row.kind, row.field, row.variant, row.seed)
         clf = fit(grid, run, X.ablate(train, run.variant) if run.variant != "none" else train)
+        clf.save(f"{grid.path}/models/{row.run_key}")
         changed = {n: X.ablate(t, run.variant) if run.variant != "none" else t for n, t in tests.items()}
         rows = learn.score(clf, changed, grid.row_id, grid.label, ts=grid.ts)
         for c in RUN[1:]:
             rows = rows.withColumn(c, F.lit(row[c]))
         store(rows.withColumn("run_key", F.lit(row.run_key)), f"{grid.path}/predictions")
         spark.createDataFrame([row], keyed.schema).write.mode("append").parquet(f"{grid.path}/runs")
-    return spark.read.parquet(f"{grid.path}/predictions").join(
-        F.broadcast(keyed.select("run_key")), "run_key", "left_semi"  # a row per run
-    )
+    keys = [r.run_key for r in keyed.collect()]
+    return spark.read.parquet(f"{grid.path}/predictions").filter(F.col("run_key").isin(keys))
+
+
+def model_of(grid: Grid, run: Run, train: DataFrame, tests: dict[str, DataFrame]) -> learn.Classifier:
+    """The model of a run: the stored one, fitted first if the run is not done yet."""
+    experiment_grid(grid, [run], train, tests)
+    key = plan_runs(grid, [run], train, tests)[0].first().run_key
+    return learn.Classifier.load(train.sparkSession, f"{grid.path}/models/{key}")
 
 
 def store(rows: DataFrame, path: str) -> None:
@@ -146,6 +171,7 @@ def split_parts(processed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def identify(grid: Grid, processed: DataFrame, seeds: list[int]) -> dict[str, DataFrame]:
     """Can the label be told from the output?  Metrics, run summaries and accuracy by slice."""
+    grid = with_known_labels(grid, processed)
     train, _, test = split_parts(processed)
     todo = [Run("linear"), *[Run("style", seed=s) for s in seeds]]
     preds = experiment_grid(grid, todo, train, {"test": test})
@@ -156,7 +182,12 @@ def identify(grid: Grid, processed: DataFrame, seeds: list[int]) -> dict[str, Da
         F.col(grid.row_id).alias("row_id"), "domain", "is_reasoning", "refusal", "model",
         F.length("output").alias("length"),
     )
-    sliced = preds.filter(F.col("kind") == "linear").drop("probs").join(facts, "row_id")
+    sliced = preds.drop("probs").join(facts, "row_id")
+    arm = ["kind", "seed"]
+    best = evaluate.select_best_run(
+        accuracy.filter("metric = 'macro_f1'").select("kind", "seed", "run_key", F.col("value").alias("macro_f1")),
+        "macro_f1", ["kind"],
+    )
     return {
         "metrics": scores,
         "summary": evaluate.summarize_runs(accuracy, "value", ["kind", "test_set", "metric"]),
@@ -166,21 +197,28 @@ def identify(grid: Grid, processed: DataFrame, seeds: list[int]) -> dict[str, Da
             ),
             ["kind"],
         ),
-        "slices": evaluate.breakdown(sliced, ["domain", "is_reasoning", "refusal"], ["kind"]),
-        "lengths": evaluate.breakdown_length_quartile(sliced, "length"),
-        "models": evaluate.breakdown_model(sliced),
+        "best": best,
+        "slices": evaluate.breakdown(sliced, ["domain", "is_reasoning", "refusal"], arm),
+        "lengths": evaluate.breakdown_length_quartile(sliced, "length", arm),
+        "models": evaluate.breakdown_model(sliced, by=arm),
     }
 
 
 def compare_fields(grid: Grid, processed: DataFrame, modes: list[str] = ("input", "output", "both")) -> dict[str, DataFrame]:
     """Does the prompt help?  Accuracy by field on all and on matched rows, pair agreement, time control."""
+    grid = with_known_labels(grid, processed)
     train, _, test = split_parts(processed)
     todo = [*[Run("linear", m) for m in modes], Run("time", "time")]
     preds = experiment_grid(grid, todo, train, {"test": test}).drop("probs")
+    # the terms a prompt-only model leans on
+    spark = train.sparkSession
+    prompt_model = model_of(grid, Run("linear", "input"), train, {"test": test}) if "input" in modes else None
+    terms = {"input_terms": explain.top_class_terms(explain.coefficient_table(spark, prompt_model), 20)} if prompt_model else {}
     keys = test.select(F.col(grid.row_id).alias("row_id"), "prompt_id", "matched_pair")
     marked = preds.join(keys, "row_id")
     inputs = marked.filter((F.col("field") == "input") & F.col("matched_pair"))
     return {
+        **terms,
         "accuracy": evaluate.subset_eval(marked, "matched_pair", ["kind", "field"]),
         "agreement": evaluate.pair_agreement(inputs, "prompt_id", ["kind"]),
         "time_span": compare.time_range_by_class(processed, grid.label, grid.ts),
@@ -189,15 +227,21 @@ def compare_fields(grid: Grid, processed: DataFrame, modes: list[str] = ("input"
 
 
 def transfer_eval(
-    grid: Grid, processed: DataFrame, domains: list[str], seed: int = 0
+    grid: Grid, processed: DataFrame, domains: list[str], seed: int = 0, minimum: int = 200
 ) -> DataFrame:
     """Prediction rows with columns ``domain`` and ``condition``: trained in the domain or outside it.
 
+    Domains that lack a label or have fewer than ``minimum`` rows are left out.
+
     Both conditions score the same held-out rows of the domain; the outside sample matches the
     inside training set in size.  The linear model needs no validation rows and trains on them too.
     """
+    grid = with_known_labels(grid, processed)
+    fit_for_it = {r.domain for r in compare.domain_gate(processed, len(grid.labels), minimum).collect()}  # a row per domain
+    if not fit_for_it.intersection(domains):
+        raise ValueError(f"no domain has every label and {minimum} rows")
     out = None
-    for d in domains:
+    for d in [d for d in domains if d in fit_for_it]:
         parts = compare.domain_holdout(processed, d, seed)
         inside = parts["train"].unionByName(parts["val"])
         size = inside.agg(F.count("*").alias("n"))
@@ -232,12 +276,13 @@ def test_time_ablation(
 
 def ablations(grid: Grid, processed: DataFrame, variants: list[str] = X.VARIANTS) -> DataFrame:
     """Per variant: refitted accuracy, accuracy of the clean model, and both changes to no ablation."""
+    grid = with_known_labels(grid, processed)
     train, _, test = split_parts(processed)
     preds = experiment_grid(grid, [Run("linear", variant=v) for v in variants], train, {"test": test})
     refit = evaluate.accuracy_n(preds, ["kind", "variant", "seed"]).select(
         F.col("kind").alias("model"), "variant", F.lit("refit").alias("kind"), "accuracy"
     )
-    clean_model = fit(grid, Run("linear"), train)
+    clean_model = model_of(grid, Run("linear"), train, {"test": test})
     direct = test_time_ablation(grid, clean_model, test, variants).select(
         F.lit("linear").alias("model"), "variant", F.lit("test_time").alias("kind"), "accuracy"
     )
@@ -246,9 +291,10 @@ def ablations(grid: Grid, processed: DataFrame, variants: list[str] = X.VARIANTS
 
 def explain_style(grid: Grid, processed: DataFrame, repeats: int = 5) -> dict[str, DataFrame]:
     """Style profile by label and what the style model leans on."""
+    grid = with_known_labels(grid, processed)
     train, _, test = split_parts(processed)
     features = style_features(processed.select(grid.label, "output")).drop("output")
-    clf = fit(grid, Run("style"), train)
+    clf = model_of(grid, Run("style"), train, {"test": test})
     rows = style_features(test.select(grid.row_id, grid.label, "output"))
     return {
         **compare.describe(processed, grid.label),
@@ -259,6 +305,7 @@ def explain_style(grid: Grid, processed: DataFrame, repeats: int = 5) -> dict[st
 
 def explain_terms(grid: Grid, processed: DataFrame, field: str = "output", k: int = 20) -> DataFrame:
     """The heaviest terms of each label in the linear model of one field."""
-    train, _, _ = split_parts(processed)
-    clf = fit(grid, Run("linear", field), train)
+    grid = with_known_labels(grid, processed)
+    train, _, test = split_parts(processed)
+    clf = model_of(grid, Run("linear", field), train, {"test": test})
     return explain.top_class_terms(explain.coefficient_table(processed.sparkSession, clf), k)

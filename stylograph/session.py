@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_own: dict[str, str] = {}  # folders of local sessions without the setting, by application
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
-    Only a local session without the setting gets a temporary folder of its own; on a cluster a
-    missing setting is an error, since a machine-local folder would be lost with its machine.
+    Only a local session without the setting, as in tests, gets a temporary folder, which goes when Python
+    ends; on a cluster a missing setting is an error, since a machine-local folder would be lost with its
+    machine.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stylograph-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="stylograph-")
+        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
+    return _own[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .schemas import BATTLES, require
 
@@ -14,15 +13,6 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return require(df, columns).select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer tasks than cores out to all cores; other scans stay as they are.
-
-    Meant for small tables that sit in a single row group and meet costly text expressions next.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_battles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Raw battles.  Parquet brings its own types and is checked; other formats get the schema given."""
     if fmt == "parquet":
@@ -33,31 +23,29 @@ def scan_battles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 def battles_from_raw_json(raw: DataFrame, column: str = "value") -> DataFrame:
     """Battles from JSON lines whose message content is a string or a list of typed parts.
 
-    ``content`` is read as text; a list is then parsed as parts, anything else stays plain text.
+    Lines are parsed to variants, so the content keeps its JSON type: a string stays plain text even if it
+    looks like a list, a list becomes parts, anything else its JSON text.  Broken lines give a row of nulls.
     """
-    message = T.StructType(
-        [T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]
-    )
-    fields = [
-        T.StructField(f.name, T.ArrayType(message)) if f.name.startswith("conversation_") else f
-        for f in BATTLES.fields
-    ]
-    parts = BATTLES["conversation_a"].dataType.elementType["content_parts"].dataType
+    kinds = {f.name: f.dataType.simpleString() for f in BATTLES.fields}
+    parts = BATTLES["conversation_a"].dataType.elementType["content_parts"].dataType.simpleString()
 
     def split_content(m):
-        is_list = F.coalesce(F.ltrim(m["content"]).startswith("["), F.lit(False))
-        parsed = F.from_json(m["content"], parts)
-        is_parts = is_list & parsed.isNotNull()
+        is_list = F.coalesce(F.schema_of_variant(m["content"]).startswith("ARRAY"), F.lit(False))
         return F.struct(
             m["role"].alias("role"),
-            F.when(~is_parts, m["content"]).alias("content_text"),
-            F.when(is_parts, parsed).alias("content_parts"),
+            F.when(~is_list, F.try_variant_get(m["content"], "$", "string")).alias("content_text"),
+            F.when(is_list, F.try_variant_get(m["content"], "$", parts)).alias("content_parts"),
         )
 
-    df = raw.select(F.from_json(column, T.StructType(fields)).alias("b")).select("b.*")
-    return df.withColumns(
-        {c: F.transform(c, split_content) for c in ("conversation_a", "conversation_b")}
-    )
+    line = F.col("_line")
+    columns = []
+    for name, kind in kinds.items():
+        if name.startswith("conversation_"):
+            messages = F.try_variant_get(line, f"$.{name}", "array<struct<role:string,content:variant>>")
+            columns.append(F.transform(messages, split_content).alias(name))
+        else:
+            columns.append(F.try_variant_get(line, f"$.{name}", kind).alias(name))
+    return raw.select(F.try_parse_json(column).alias("_line")).select(*columns)
 
 
 def known_labels(df: DataFrame, labels: list[str], label: str = "family") -> DataFrame:

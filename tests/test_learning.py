@@ -50,7 +50,8 @@ def test_identify(grid, processed):
     got = E.identify(grid, processed, [0])
     accuracy = {r.kind: r["mean"] for r in got["summary"].filter("metric = 'accuracy'").collect()}
     assert accuracy["linear"] > 0.9 and accuracy["style"] > 0.9
-    assert got["lengths"].count() <= 4 and got["slices"].count() > 0
+    assert {r.kind for r in got["lengths"].collect()} == {r.kind for r in got["slices"].collect()} == {"linear", "style"}
+    assert got["lengths"].count() <= 8 and got["models"].count() == 6 and got["best"].count() == 2
     assert {r.label for r in got["recall"].collect()} == set(LABELS)
 
 
@@ -75,6 +76,40 @@ def test_finished_runs_are_not_fitted_again(grid, processed, monkeypatch):
         E.experiment_grid(grid, todo, train.filter("row_id > 3"), {"test": test})
 
 
+def test_a_run_is_done_again_when_what_it_reads_changes(grid, processed):
+    train, _, test = E.split_parts(processed)
+    todo = [E.Run("linear", "input"), E.Run("linear", variant="no_masking"), E.Run("style"), E.Run("time", "time")]
+
+    def keys(df):
+        return [r.run_key for r in sorted(E.plan_runs(grid, todo, df, {"test": test})[0].collect(), key=lambda r: (r.kind, r.variant))]
+
+    before = keys(train)  # linear unmasked, linear on the input, style, time
+    changes = {
+        "timestamp": F.expr("timestamp + INTERVAL 1 DAY"), "output_raw": F.concat("output_raw", F.lit("!")),
+        "input": F.concat("input", F.lit("!")), "output": F.concat("output", F.lit("!")), "row_id": F.col("row_id") + 1_000,
+    }
+    changed = {c: [a != b for a, b in zip(before, keys(train.withColumn(c, e)))] for c, e in changes.items()}
+    assert changed["timestamp"] == [False, False, False, True]
+    assert changed["output_raw"] == [True, False, False, False]
+    assert changed["input"][1] and not changed["input"][3]
+    assert changed["output"][2] and not changed["output"][1]
+    assert changed["row_id"] == [True] * 4
+
+
+def test_labels_are_those_that_occur(grid, processed):
+    wide = replace(grid, labels=("Claude", "Gemini", "GPT", "Qwen"))
+    assert E.with_known_labels(wide, processed).labels == ("Claude", "GPT", "Qwen")
+
+
+def test_stored_model_scores_alike(spark, grid, processed):
+    train, _, test = E.split_parts(processed)
+    for run in (E.Run("linear", "input"), E.Run("style")):
+        stored = E.model_of(grid, run, train, {"test": test})
+        fresh = E.fit(grid, run, train)
+        a, b = ({r.row_id: r.pred for r in learn.score(c, {"test": test}).collect()} for c in (stored, fresh))
+        assert a == b
+
+
 def test_same_fit_twice_and_probabilities(grid, processed):
     train, _, test = E.split_parts(processed)
     runs = [learn.score(E.fit(grid, E.Run(kind), train), {"test": test}) for kind in ("linear", "linear", "style")]
@@ -85,7 +120,7 @@ def test_same_fit_twice_and_probabilities(grid, processed):
 
 
 def test_transfer_scores_the_same_rows(grid, processed):
-    preds = E.transfer_eval(grid, processed, ["code", "general"])
+    preds = E.transfer_eval(grid, processed, ["code", "general"], minimum=50)
     n = {(r.domain, r.condition): r.n for r in evaluate.accuracy_n(preds, ["domain", "condition"]).collect()}
     assert n["code", "in_domain"] == n["code", "cross_domain"] > 0
     tables = E.transfer_tables(preds, LABELS, ["code", "general"])
@@ -113,8 +148,8 @@ def test_explanations(spark, grid, processed):
 
 
 def test_permutation_importance(grid, processed):
-    # with one round every class rests on a single feature; more rounds use features that stand in
-    # for each other, and shuffling one of them then costs nothing
+    # with one tree the classes rest on few features; more trees use features that stand in
+    # for each other, and shuffling one of them then costs little
     one_round = replace(grid, settings=replace(SETTINGS, style_rounds=1))
     train, _, test = E.split_parts(processed)
     clf = E.fit(one_round, E.Run("style"), train)
