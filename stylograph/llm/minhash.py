@@ -3,11 +3,12 @@
 Documents with the same set of word shingles form a class.  Each class gets a MinHash signature, and independent
 trees branch the classes: a node selects one place of the signature by its own hash, and the token
 there decides the child.  The first levels are walked inside each row, as nodes near the root
-are always large.  Every node then links its classes to its smallest one; links are confirmed on
-the full sets and joined into groups.  Nodes that hold several groups are looked at again: small ones are compared
-exhaustively across groups, large ones branch on, twice per node, and what is left at the last level is compared
-across groups too, however large.  Pairs inside a group need no further comparison, so large
-groups of near copies cost a link per member and tree, not a pair.
+are always large, the more levels the more classes there are.  Every node then links its classes to its smallest
+one; links are confirmed on the full sets and joined into groups.  Nodes that hold several groups are looked at
+again: the classes outside the node's largest group are compared with all classes of other groups if that is little
+work, else the node branches on, twice, and what is left at the last level is compared however much it is.
+Pairs inside a group need no further comparison, so a large group of near copies costs a link per member and tree,
+not a pair.  A 64-bit sketch of the signatures rules out unlike pairs inside the join, before they become rows.
 
 Enough trees are walked that a pair at the threshold meets in one with probability ``recall``.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -36,11 +37,12 @@ from .linking import components
 WIDTH = 5  # words per shingle, unless a caller says otherwise
 PERCENT = 80  # least similarity
 RECALL = 0.9999
-LEVELS = 3  # walked before nodes are looked at
-DEEPEST = 9
-SMALL = 32  # classes of a node that is compared exhaustively
+LEVELS = 3  # least number of levels walked before nodes are looked at
+FEW, FANOUT = 1_000, 20  # a level more for every FANOUT times as many classes beyond FEW * FANOUT**2
+DEEPER = 6  # levels that nodes branch on at most
+WORK = 4_000_000  # comparisons in a node that need no branching
 PLACES = 64  # tokens in a signature
-LIKELY = 0.5  # share of equal signature places below which a pair is not worth confirming
+CERTAIN = 5.2  # standard deviations by which a sketch may miss its expectation
 
 RNG = np.random.default_rng(448)
 FLIPS = RNG.integers(0, 2**63, PLACES, dtype=np.uint64)
@@ -105,19 +107,27 @@ def _signs(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u2").reshape(len(column), PLACES)
 
 
+def _sketches(signs: np.ndarray) -> np.ndarray:
+    return np.packbits((signs & 1).astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel()
+
+
+MEMBER = "node long, set long, n long, sketch long"
+
+
 def nodes(classes: DataFrame, trees: int, levels: int) -> DataFrame:
-    """(node, set, n): the node of every class in every tree after the first levels."""
+    """(node, set, n, sketch): the node of every class in every tree after the first levels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             signs = _signs(batch["sign"])
+            own = _sketches(signs)
             for tree in range(trees):
                 path = V.mixed(np.full(len(batch), tree + 1, np.uint64))
                 for _ in range(levels):
                     path = _step(path, signs, 0)
-                yield pd.DataFrame({"node": path.view(np.int64), "set": batch["set"], "n": batch["n"]})
+                yield pd.DataFrame({"node": path.view(np.int64), "set": batch["set"], "n": batch["n"], "sketch": own})
 
-    return classes.select("set", "n", "sign").mapInPandas(run, "node long, set long, n long")
+    return classes.select("set", "n", "sign").mapInPandas(run, MEMBER)
 
 
 def children(members: DataFrame) -> DataFrame:
@@ -128,26 +138,22 @@ def children(members: DataFrame) -> DataFrame:
             signs, path = _signs(batch["sign"]), batch["node"].to_numpy().view(np.uint64)
             for salt in (1, 2):
                 to = _step(path, signs, salt)
-                yield pd.DataFrame({"node": to.view(np.int64), "set": batch["set"], "n": batch["n"]})
+                yield pd.DataFrame(
+                    {"node": to.view(np.int64), "set": batch["set"], "n": batch["n"], "sketch": batch["sketch"]}
+                )
 
-    return members.select("node", "set", "n", "sign").mapInPandas(run, "node long, set long, n long")
+    return members.select("node", "set", "n", "sketch", "sign").mapInPandas(run, MEMBER)
 
 
 def _near_in_size(a: str, b: str, percent: int):
     return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * percent
 
 
-def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose signatures agree often enough to be worth confirming."""
-    a = classes.select(F.col("set").alias("a"), F.col("sign").alias("sign_a"))
-    b = classes.select(F.col("set").alias("b"), F.col("sign").alias("sign_b"))
-
-    @F.pandas_udf("double")
-    def agreement(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series((_signs(x) == _signs(y)).mean(axis=1)) if len(x) else pd.Series([], dtype=float)
-
-    joined = pairs.join(a, "a").join(b, "b")
-    return joined.filter(agreement("sign_a", "sign_b") >= LIKELY).select("a", "b")
+def alike(a: str, b: str, percent: int) -> Column:
+    """Whether two sketches differ in no more bits than those of similar sets do."""
+    p = (1 - percent / 100) / 2
+    most = math.floor(PLACES * p + CERTAIN * math.sqrt(PLACES * p * (1 - p)))
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= most
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
@@ -183,7 +189,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
 
 def grouped(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
-    percent: int = PERCENT, recall: float = RECALL, levels: int = LEVELS, small: int = SMALL, deepest: int = DEEPEST,
+    percent: int = PERCENT, recall: float = RECALL, work: int = WORK, deeper: int = DEEPER,
 ) -> DataFrame:
     """(doc_id, key, n, first): a row per document; ``first`` is the smallest document of its group, null if it has no set."""
     rows = materialize(signed(docs, text, doc_id, width), "signed")
@@ -192,53 +198,57 @@ def grouped(
         F.first("n").alias("n"), F.first("sign").alias("sign"),
     )
     classes = materialize(classes, "classes")
+    levels = max(LEVELS, math.ceil(math.log(max(1, classes.count() / FEW), FANOUT)))
     trees = trees_for(recall, percent / 100, levels)
 
-    def shared(members: DataFrame, group: str) -> DataFrame:
-        """Members of nodes with more than one group, with the node's size and smallest class."""
-        of = members.groupBy("node").agg(
-            F.count("*").alias("size"), F.min(F.struct("set", "n")).alias("least"),
-            (F.min(group) != F.max(group)).alias("several"),
-        )
-        return members.join(of.filter("several"), "node")
-
     def links(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.filter(_near_in_size("na", "nb", percent)).select("a", "b").distinct()
-        pairs = materialize(likely(pairs, classes), "pairs")
+        pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
         return materialize(confirmed(pairs, classes, docs, text, doc_id, width, percent), "links")
 
-    meeting = materialize(shared(nodes(classes, trees, levels), "set").drop("several"), "nodes")
-    stars = meeting.filter("set != least.set").select(
-        F.col("least.set").alias("a"), F.col("set").alias("b"), F.col("least.n").alias("na"), F.col("n").alias("nb")
-    )
-    found = links(stars)
+    walked = nodes(classes, trees, levels)
+    of = walked.groupBy("node").agg(F.min(F.struct("set", "n", "sketch")).alias("least"), F.count("*").alias("size"))
+    meeting = materialize(walked.join(of.filter("size > 1").drop("size"), "node"), "nodes")
+    least = F.struct(F.col("least.set").alias("a"), F.col("least.n").alias("na"), F.col("least.sketch").alias("ka"))
+    stars = meeting.select(least.alias("l"), F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    stars = stars.select("l.*", "b", "nb", "kb").filter("a != b")
+    found = links(stars.filter(_near_in_size("na", "nb", percent) & alike("ka", "kb", percent)))
     groups = components(found)
 
-    def grouped(members: DataFrame) -> DataFrame:
-        joined = members.join(groups.withColumnRenamed("item", "set"), "set", "left")
-        return joined.withColumn("root", F.coalesce("root", "set"))
+    def open_nodes(members: DataFrame) -> DataFrame:
+        """Members of nodes with several groups, with the largest group (home) and the work to compare the others with all."""
+        told = members.join(groups.withColumnRenamed("item", "set"), "set", "left")
+        told = told.withColumn("root", F.coalesce("root", "set"))
+        sizes = told.groupBy("node", "root").agg(F.count("*").alias("c"))
+        of = sizes.groupBy("node").agg(F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("top"))
+        of = of.filter(F.col("size") > F.col("top.c"))
+        of = of.select("node", F.col("top.root").alias("home"), ((F.col("size") - F.col("top.c")) * F.col("size")).alias("work"))
+        return materialize(told.join(of, "node"), "open-nodes")
 
     def across(members: DataFrame) -> DataFrame:
-        """Pairs of different groups that meet in a node and are near in size."""
-        x = members.select("node", F.col("set").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-        y = members.select("node", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-        apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _near_in_size("na", "nb", percent)
-        return x.join(y, "node").filter(apart).select("a", "b", "na", "nb").distinct()
-
-    rest = materialize(shared(grouped(meeting.select("node", "set", "n")), "root"), "open-nodes")
-    pairs = across(rest.filter(F.col("size") <= small))
-    large = rest.filter(F.col("size") > small)
-    level = levels
-    while not large.isEmpty():
-        if level == deepest:
+        """Likely pairs of different groups that meet in a node."""
+        x = members.filter("root != home").select(
+            "node", F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"), F.col("root").alias("ra")
+        )
+        y = members.select(
+            "node", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"), F.col("root").alias("rb"), "home"
+        )
+        once = (F.col("rb") == F.col("home")) | (F.col("a") < F.col("b"))
+        apart = once & (F.col("ra") != F.col("rb")) & alike("ka", "kb", percent) & _near_in_size("na", "nb", percent)
+        return x.join(y, "node").filter(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    rest = open_nodes(meeting.drop("least"))
+    pairs = across(rest.filter(F.col("work") <= work))
+    large = rest.filter(F.col("work") > work)
+    for level in range(deeper + 1):
+        if large.isEmpty():
+            break
+        if level == deeper:
             pairs = pairs.unionByName(across(large))
             break
-        level += 1
-        signs = classes.select("set", "sign")
-        nodes_below = children(large.select("node", "set", "n").join(signs, "set"))
-        rest = materialize(shared(grouped(nodes_below), "root"), "open-nodes")
-        pairs = pairs.unionByName(across(rest.filter(F.col("size") <= small)))
-        large = rest.filter(F.col("size") > small)
+        below = children(large.select("node", "set", "n", "sketch").join(classes.select("set", "sign"), "set"))
+        rest = open_nodes(below)
+        pairs = pairs.unionByName(across(rest.filter(F.col("work") <= work)))
+        large = rest.filter(F.col("work") > work)
     more = links(pairs)
     if not more.isEmpty():
         groups = components(found.unionByName(more))
