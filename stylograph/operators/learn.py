@@ -99,8 +99,7 @@ def fit_linear_text(
     # the field is derived once: every block's terms and the vectors read it
     text = materialize(train.select(label, field_view(mode).alias("_field")), "field")
     fitted = fit_blocks(text, "_field", blocks)
-    vectors = as_vectors(text, "_field", fitted, [label])
-    vectors = materialize(vectors.withColumn("label", label_index(labels, label)), "vectors")
+    vectors = as_vectors(text, "_field", fitted, [label]).withColumn("label", label_index(labels, label))
     n = vectors.count()
     lr = LogisticRegression(
         family="multinomial", maxIter=max_iter, regParam=1.0 / (strength * n), elasticNetParam=0.0,

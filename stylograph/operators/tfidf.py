@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import patterns as P
 from ..functions.text import find_all, replace_all
+from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -131,26 +132,48 @@ def fit_blocks(df: DataFrame, text: str, blocks: tuple[Block, ...] = (WORDS, CHA
     return out
 
 
+def _weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
+    """Adds ``_at`` and ``_weights``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1.
+
+    The counter gives tf and the product tf * idf at the same places, from which the weights follow.
+    """
+    out = with_terms(df, text, f.block, "_terms")
+    out = _counter(df.sparkSession, f, "_terms").transform(out)
+    idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_scaled")
+    out = idf.transform(out).withColumns({"_c": F.unwrap_udt("_counts"), "_s": F.unwrap_udt("_scaled")})
+    weights = F.zip_with(
+        F.col("_c")["values"], F.col("_s")["values"],
+        lambda tf, x: F.when(tf > 0, (F.lit(1.0) + F.log(tf)) * x / tf).otherwise(F.lit(0.0)),
+    )
+    # a row that uses most of a short list comes back as a dense vector, which has no indices
+    dense = F.sequence(F.lit(0), F.size(F.col("_c")["values"]) - 1)
+    places = F.transform(F.coalesce(F.col("_c")["indices"], dense), lambda i: i + f.offset)
+    out = out.withColumns({"_at": places, "_weights": weights})
+    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda a, w: a + w * w))
+    out = out.withColumn("_norm", norm)
+    scaled = F.transform("_weights", lambda w: F.when(F.col("_norm") > 0, w / F.col("_norm")).otherwise(w))
+    return out.withColumn("_weights", scaled).drop("_terms", "_counts", "_scaled", "_c", "_s", "_norm")
+
+
 def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[str]) -> DataFrame:
-    """``carry`` columns plus a sparse ``features`` vector per row; narrow, no shuffle.
+    """``carry`` columns plus a sparse ``features`` vector per row, blocks side by side; no shuffle.
 
-    Weights are (1 + ln tf) * idf, each block scaled to length 1, blocks side by side.
+    A vector is stored as a struct, so structs of SQL expressions are written and read back as
+    vectors.  That also is the one place where the text work happens, however often the vectors are read.
     """
     out = df.select(*carry, F.col(text).alias("_text"))
     for f in fitted:
-        name = f.block.name
-        out = with_terms(out, "_text", f.block, f"_{name}")
-        out = _counter(df.sparkSession, f, f"_{name}").transform(out)
-        out = out.withColumn("_counts", _sublinear("_counts")).drop(f"_{name}")
-        idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_raw")
-        out = Normalizer(p=2.0, inputCol="_raw", outputCol="_unit").transform(idf.transform(out))
-        # the assembler runs a job on the first row unless it is told the size
-        sized = F.col("_unit").alias(f"_block_{name}", metadata={"ml_attr": {"num_attrs": f.size}})
-        out = out.select(*[c for c in out.columns if c not in ("_counts", "_raw", "_unit")], sized)
-    columns = [f"_block_{f.block.name}" for f in fitted]
-    joined = VectorAssembler(inputCols=columns, outputCol="features").transform(out)
-    # without the names it gives to each of 150,000 entries, which every later plan would carry
-    return joined.select(*carry, F.col("features").alias("features", metadata={}))
+        out = _weighed(out, "_text", f)
+        out = out.withColumnsRenamed({"_at": f"_at_{f.block.name}", "_weights": f"_w_{f.block.name}"})
+    places = F.concat(*[F.col(f"_at_{f.block.name}") for f in fitted])
+    weights = F.concat(*[F.col(f"_w_{f.block.name}") for f in fitted])
+    size = sum(f.size for f in fitted)
+    vector = F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"), places.alias("indices"), weights.alias("values")
+    )
+    rows = out.select(*carry, vector.alias("features"))
+    kept = [rows.schema[c] for c in carry]
+    return materialize(rows, "vectors", T.StructType([*kept, T.StructField("features", VectorUDT())]))
 
 
 def _counter(spark, fitted: FittedBlock, column: str) -> CountVectorizerModel:
@@ -165,39 +188,19 @@ def _counter(spark, fitted: FittedBlock, column: str) -> CountVectorizerModel:
     return model.setInputCol(column).setOutputCol("_counts")
 
 
-def _sublinear(counts: str) -> Column:
-    """The same sparse vector with 1 + ln(count) in place of each count.
-
-    A vector can be taken apart but not put together by SQL expressions, except by reading it from
-    JSON.
-    """
-    v = F.unwrap_udt(F.col(counts))
-    record = F.struct(
-        F.struct(
-            v["type"].alias("type"), v["size"].alias("size"), v["indices"].alias("indices"),
-            F.transform(v["values"], lambda x: F.lit(1.0) + F.log(x)).alias("values"),
-        ).alias("v")
-    )
-    return F.from_json(F.to_json(record), T.StructType([T.StructField("v", VectorUDT())]))["v"]
-
-
 def term_weights(
     df: DataFrame, row_id: str, text: str, fitted: list[FittedBlock], keep: list[str] = ()
 ) -> DataFrame:
     """(row_id, *keep, block, term, weight): the non-zero weights of every row, as a long table."""
-    v = F.unwrap_udt(F.col("features"))
-    # a row that uses most of a short list comes back as a dense vector, which has no indices
-    indices = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
-    pairs = F.arrays_zip(indices.alias("index"), v["values"].alias("weight"))
-    vectors = as_vectors(df, text, fitted, [row_id, *keep])
-    long = vectors.select(row_id, *keep, F.explode(pairs).alias("e")).select(row_id, *keep, "e.*")
-    long = long.filter(F.col("weight") != 0)
-    names = None
+    long = None
     for f in fitted:
-        one = f.table(df.sparkSession)
-        names = one if names is None else names.unionByName(one)
-    # at most max_terms entries per block
-    return long.join(F.broadcast(names), "index").select(row_id, *keep, "block", "term", "weight")
+        rows = _weighed(df.select(row_id, *keep, F.col(text).alias("_text")), "_text", f)
+        pairs = F.arrays_zip(F.col("_at").alias("index"), F.col("_weights").alias("weight"))
+        one = rows.select(row_id, *keep, F.explode(pairs).alias("e")).select(row_id, *keep, "e.*").filter("weight != 0")
+        # at most max_terms entries
+        one = one.join(F.broadcast(f.table(df.sparkSession)), "index").select(row_id, *keep, "block", "term", "weight")
+        long = one if long is None else long.unionByName(one)
+    return long
 
 
 def tfidf(

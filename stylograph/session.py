@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _own: dict[str, str] = {}  # folders of local sessions without the setting, by application
@@ -36,8 +37,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+    """Write once to the shared folder and read back, as ``schema`` if given: cuts lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
