@@ -121,11 +121,19 @@ def test_simhash_counts_every_bit(spark):
     df = spark.createDataFrame([(1, "one two three four five"), (2, "six seven eight nine ten eleven")], "doc_id long, text string")
     words = {r.w: r.h & (2**64 - 1) for r in df.select(F.explode(F.split("text", " ")).alias("w")).withColumn("h", F.xxhash64("w")).collect()}
     for r in lines.occurrences(df, "text", "doc_id").collect():
+        # fewer than five words have seven letters
         hashes = [words[w] for w in (dict(df.collect())[r.doc_id]).split(" ")]
         want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
         assert r.sim & (2**64 - 1) == want
 
 
+def test_lines_beyond_the_counters(spark):
+    many = " ".join(["abcdefgh"] * 40_000)
+    data = [(1, many), (2, many.upper()), (3, many + " more")]
+    got = {r["_row"].doc_id: r.removed for r in lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [0], 3: []}
+
+
 # ---- quality ----------------------------------------------------------------------------------
 
 
