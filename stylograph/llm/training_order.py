@@ -38,6 +38,7 @@ END = 0
 PER_SHARD = 16_384
 KEY = 448
 ROUNDS = 6
+ROWS_AT_ONCE = 500
 HEAD = "<qqII"
 NO_ID = -(2**63)
 
@@ -71,17 +72,20 @@ def sequences(docs: DataFrame, text: str, doc_id: str, path: str, length: int, e
         encoder = Encoder.of(path)
         tail = np.asarray([end], "<u2").tobytes()
         part, no = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            records = []
-            ids = batch["doc_id"].astype("Int64").fillna(NO_ID).astype("int64").tolist()
-            for doc, raw in zip(ids, encoder.encode(batch["text"].fillna("").tolist())):
-                raw += tail
-                for at in range(0, len(raw), 2 * length):
-                    piece = raw[at : at + 2 * length]
-                    head = struct.pack(HEAD, doc, at // 2, len(piece) // 2, zlib.crc32(piece))
-                    records.append(head + piece.ljust(2 * length, b"\0") + b"\n")
-            yield pd.DataFrame({"part": part, "no": np.arange(no, no + len(records)), "record": records})
-            no += len(records)
+        for whole in batches:
+            # a few documents at a time: records take several times the room of their texts
+            for start in range(0, len(whole), ROWS_AT_ONCE):
+                batch = whole.iloc[start : start + ROWS_AT_ONCE]
+                records = []
+                ids = batch["doc_id"].astype("Int64").fillna(NO_ID).astype("int64").tolist()
+                for doc, raw in zip(ids, encoder.encode(batch["text"].fillna("").tolist())):
+                    raw += tail
+                    for at in range(0, len(raw), 2 * length):
+                        piece = raw[at : at + 2 * length]
+                        head = struct.pack(HEAD, doc, at // 2, len(piece) // 2, zlib.crc32(piece))
+                        records.append(head + piece.ljust(2 * length, b"\0") + b"\n")
+                yield pd.DataFrame({"part": part, "no": np.arange(no, no + len(records)), "record": records})
+                no += len(records)
 
     return rows.mapInPandas(run, "part int, no long, record binary")
 
