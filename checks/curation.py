@@ -286,10 +286,6 @@ def class_counts(spark, sf):
     return curate.class_counts(V.answers(spark, sf))
 
 
-MINIMUM = f"""(SELECT family FROM answers GROUP BY family
-    HAVING count(*) >= (SELECT count(*) // 10 FROM answers))"""
-
-
 @query(
     "min_class_filter",
     f"WITH {V.ANSWERS} SELECT lang, doc_id FROM documents WHERE lang IN (SELECT lang FROM documents GROUP BY lang HAVING count(*) >= 140)",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stylograph.functions import patterns as P
+from stylograph.functions import stats
 from stylograph.functions.style import FEATURES, style_features
 from stylograph.operators import clean, compare, evaluate
 
@@ -382,13 +383,20 @@ def transfer_drop_error(spark, sf):
 # ---- report numbers ---------------------------------------------------------------------------
 
 
+def _sql_tail(x: str, t: str) -> str:
+    """One minus the error function of x, by the same series as the operator."""
+    series = "0.0"
+    for a in reversed(stats.ERF_A):
+        series = f"({series} * {t} + ({a}))"
+    return f"{series} * {t} * exp(-{x} * {x})"
+
+
 @query(
     "proportion_test",
     f"""WITH {V.PREDICTIONS}, s AS (SELECT kind, seed, domain, avg({HIT}) AS accuracy, count(*) AS n FROM predictions GROUP BY ALL),
       z AS (SELECT *, abs((accuracy - 0.7) / sqrt(0.7 * 0.3 / n)) / sqrt(2.0) AS x FROM s),
-      t AS (SELECT *, 1.0 / (1.0 + 0.3275911 * x) AS t FROM z)
-    SELECT kind, seed, domain, accuracy, n, round(((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t
-      + 0.254829592) * t * exp(-x * x), 6) AS p_value FROM t""",
+      t AS (SELECT *, 1.0 / (1.0 + {stats.ERF_P} * x) AS t FROM z)
+    SELECT kind, seed, domain, accuracy, n, round({_sql_tail('x', 't')}, 6) AS p_value FROM t""",
 )
 def proportion_test(spark, sf):
     scores = evaluate.accuracy_n(V.predictions(spark, sf), [*RUN, "domain"])

@@ -43,11 +43,6 @@ def build_vocab(df: DataFrame, text: str, level: str, max_size: int, min_freq: i
     )
 
 
-def special_tokens(df: DataFrame) -> DataFrame:
-    rows = [(t, i, 0) for i, t in enumerate(P.SPECIAL_TOKENS)]
-    return df.sparkSession.createDataFrame(rows, "token string, id int, freq bigint")
-
-
 def encode_tokens(
     df: DataFrame, row_id: str, tokens, vocab: DataFrame, max_len: int, name: str = "ids"
 ) -> DataFrame:
