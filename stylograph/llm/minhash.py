@@ -8,7 +8,7 @@ one; links are confirmed on the full sets and joined into groups.  Nodes that ho
 again: the classes outside the node's largest group are compared with all classes of other groups if that is little
 work, else the node branches on, twice, and what is left at the last level is compared however much it is.
 Pairs inside a group need no further comparison, so a large group of near copies costs a link per member and tree,
-not a pair.  A 64-bit sketch of the signatures rules out unlike pairs inside the join, before they become rows.
+not a pair.  A 128-bit sketch of the signatures rules out unlike pairs inside the join, before they become rows.
 
 Enough trees are walked that a pair at the threshold meets in one with probability ``recall``.
 
@@ -40,6 +40,7 @@ RECALL = 0.9999
 LEVELS = 3  # least number of levels walked before nodes are looked at
 FEW, FANOUT = 1_000, 20  # a level more for every FANOUT times as many classes beyond FEW * FANOUT**2
 DEEPER = 6  # levels that nodes branch on at most
+AGAIN = 2  # further rounds of links to one member of a node
 WORK = 4_000_000  # comparisons in a node that need no branching
 PLACES = 64  # tokens in a signature
 CERTAIN = 5.2  # standard deviations by which a sketch may miss its expectation
@@ -107,15 +108,19 @@ def _signs(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u2").reshape(len(column), PLACES)
 
 
-def _sketches(signs: np.ndarray) -> np.ndarray:
-    return np.packbits((signs & 1).astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel()
+def _sketches(signs: np.ndarray) -> dict[str, np.ndarray]:
+    """Two bits of every token of the signature."""
+    bits = [((signs >> i) & 1).astype(np.uint8) for i in (0, 1)]
+    low, high = (np.packbits(b, axis=1, bitorder="little").view(np.int64).ravel() for b in bits)
+    return {"low": low, "high": high}
 
 
-MEMBER = "node long, set long, n long, sketch long"
+MEMBER = "node long, set long, n long, low long, high long"
+MEMBERS = ["node", "set", "n", "low", "high"]
 
 
 def nodes(classes: DataFrame, trees: int, levels: int) -> DataFrame:
-    """(node, set, n, sketch): the node of every class in every tree after the first levels."""
+    """(node, set, n, low, high): the node of every class in every tree after the first levels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,7 +130,7 @@ def nodes(classes: DataFrame, trees: int, levels: int) -> DataFrame:
                 path = V.mixed(np.full(len(batch), tree + 1, np.uint64))
                 for _ in range(levels):
                     path = _step(path, signs, 0)
-                yield pd.DataFrame({"node": path.view(np.int64), "set": batch["set"], "n": batch["n"], "sketch": own})
+                yield pd.DataFrame({"node": path.view(np.int64), "set": batch["set"], "n": batch["n"], **own})
 
     return classes.select("set", "n", "sign").mapInPandas(run, MEMBER)
 
@@ -138,11 +143,9 @@ def children(members: DataFrame) -> DataFrame:
             signs, path = _signs(batch["sign"]), batch["node"].to_numpy().view(np.uint64)
             for salt in (1, 2):
                 to = _step(path, signs, salt)
-                yield pd.DataFrame(
-                    {"node": to.view(np.int64), "set": batch["set"], "n": batch["n"], "sketch": batch["sketch"]}
-                )
+                yield batch[["set", "n", "low", "high"]].assign(node=to.view(np.int64))[MEMBERS]
 
-    return members.select("node", "set", "n", "sketch", "sign").mapInPandas(run, MEMBER)
+    return members.select(*MEMBERS, "sign").mapInPandas(run, MEMBER)
 
 
 def _near_in_size(a: str, b: str, percent: int):
@@ -150,10 +153,14 @@ def _near_in_size(a: str, b: str, percent: int):
 
 
 def alike(a: str, b: str, percent: int) -> Column:
-    """Whether two sketches differ in no more bits than those of similar sets do."""
-    p = (1 - percent / 100) / 2
-    most = math.floor(PLACES * p + CERTAIN * math.sqrt(PLACES * p * (1 - p)))
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= most
+    """Whether the sketches of two members (structs) differ in no more bits than those of similar sets do.
+
+    A place with unlike tokens has 0, 1 or 2 unlike bits: one on average, and 1.5 for the square.
+    """
+    p = 1 - percent / 100
+    most = math.floor(PLACES * p + CERTAIN * math.sqrt(PLACES * (1.5 * p - p * p)))
+    unlike = [F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in ("low", "high")]
+    return (unlike[0] + unlike[1] <= most) & _near_in_size(f"{a}.n", f"{b}.n", percent)
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
@@ -206,12 +213,20 @@ def grouped(
         return materialize(confirmed(pairs, classes, docs, text, doc_id, width, percent), "links")
 
     walked = nodes(classes, trees, levels)
-    of = walked.groupBy("node").agg(F.min(F.struct("set", "n", "sketch")).alias("least"), F.count("*").alias("size"))
-    meeting = materialize(walked.join(of.filter("size > 1").drop("size"), "node"), "nodes")
-    least = F.struct(F.col("least.set").alias("a"), F.col("least.n").alias("na"), F.col("least.sketch").alias("ka"))
-    stars = meeting.select(least.alias("l"), F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-    stars = stars.select("l.*", "b", "nb", "kb").filter("a != b")
-    found = links(stars.filter(_near_in_size("na", "nb", percent) & alike("ka", "kb", percent)))
+    shared = walked.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
+    meeting = materialize(walked.join(shared, "node"), "nodes")
+    member = F.struct("set", "n", "low", "high", "root")
+
+    def stars(members: DataFrame, order: Column) -> DataFrame:
+        """Every member of a node with the node's first one, if they may be linked and are not in one group."""
+        first = members.groupBy("node").agg(F.min(F.struct(order.alias("o"), member.alias("m")))["m"].alias("x"))
+        pairs = members.select("node", member.alias("y")).join(first, "node")
+        return pairs.filter((F.col("x.root") != F.col("y.root")) & alike("x", "y", percent)).select(
+            F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")
+        )
+
+    # the same first member in all trees
+    found = links(stars(meeting.withColumn("root", F.col("set")), F.col("set")))
     groups = components(found)
 
     def open_nodes(members: DataFrame) -> DataFrame:
@@ -226,17 +241,22 @@ def grouped(
 
     def across(members: DataFrame) -> DataFrame:
         """Likely pairs of different groups that meet in a node."""
-        x = members.filter("root != home").select(
-            "node", F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"), F.col("root").alias("ra")
-        )
-        y = members.select(
-            "node", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"), F.col("root").alias("rb"), "home"
-        )
-        once = (F.col("rb") == F.col("home")) | (F.col("a") < F.col("b"))
-        apart = once & (F.col("ra") != F.col("rb")) & alike("ka", "kb", percent) & _near_in_size("na", "nb", percent)
-        return x.join(y, "node").filter(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    rest = open_nodes(meeting.drop("least"))
+        x = members.filter("root != home").select("node", member.alias("x"))
+        y = members.select("node", "home", member.alias("y"))
+        once = (F.col("y.root") == F.col("home")) | (F.col("x.set") < F.col("y.set"))
+        apart = once & (F.col("x.root") != F.col("y.root")) & alike("x", "y", percent)
+        pairs = x.join(y, "node").filter(apart)
+        return pairs.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
+
+    rest = open_nodes(meeting)
+    # members that their node's first one does not reach meet other ones, another in every node
+    for again in range(AGAIN):
+        tried = links(stars(rest, F.xxhash64("set", "node", F.lit(again))))
+        if tried.isEmpty():
+            break
+        found = found.unionByName(tried)
+        groups = components(found)
+        rest = open_nodes(meeting)
     pairs = across(rest.filter(F.col("work") <= work))
     large = rest.filter(F.col("work") > work)
     for level in range(deeper + 1):
@@ -245,7 +265,7 @@ def grouped(
         if level == deeper:
             pairs = pairs.unionByName(across(large))
             break
-        below = children(large.select("node", "set", "n", "sketch").join(classes.select("set", "sign"), "set"))
+        below = children(large.select(*MEMBERS).join(classes.select("set", "sign"), "set"))
         rest = open_nodes(below)
         pairs = pairs.unionByName(across(rest.filter(F.col("work") <= work)))
         large = rest.filter(F.col("work") > work)
