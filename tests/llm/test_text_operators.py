@@ -127,6 +127,16 @@ def test_simhash_counts_every_bit(spark):
         assert r.sim & (2**64 - 1) == want
 
 
+def test_simhash_is_made_of_all_words_of_a_long_line(spark):
+    short, mixed = " ".join(f"ab{i}" for i in range(60)), " ".join(f"ab{i} longer{i}" for i in range(40))
+    df = spark.createDataFrame([(1, short), (2, mixed)], "doc_id long, text string")
+    words = {r.w: r.h & (2**64 - 1) for r in df.select(F.explode(F.split("text", " ")).alias("w")).withColumn("h", F.xxhash64("w")).collect()}
+    sims = {r.doc_id: r.sim for r in lines.occurrences(df, "text", "doc_id").collect()}
+    for i, text in ((1, short), (2, mixed)):
+        hashes = [words[w] for w in text.split(" ")]
+        assert sims[i] & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def test_lines_beyond_the_counters(spark):
     many = " ".join(["abcdefgh"] * 40_000)
     data = [(1, many), (2, many.upper()), (3, many + " more")]
