@@ -6,6 +6,8 @@ reported only if a complementary part stands within ``SCOPE`` code points of the
 secret beside an identifier or an endpoint, an identifier or an endpoint beside a secret.  The parts meet in an interval join on
 (text, stretch of text), so a text with many parts costs its neighbours only.
 
+A keyword also counts behind a prefix (``db_password``, ``MYSQL_PWD``), and a value is read whole, however long.
+
 Nulls and empty texts have no spans; a null doc_id is kept.  Long texts are read whole.  Equal rows
 are scanned and returned each.  An empty table gives no rows.  Extra columns are not read.
 """
@@ -34,11 +36,11 @@ BASE = [
 ]
 WEAK = [
     Kind(
-        "account", r"(?i:\b(?:user(?:name)?|login|account|client_?id))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,64}",
+        "account", r"(?i:user(?:name)?|login|account|client_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,64}",
         lambda t: t.rlike(r"(?i)user|login|account|client"),
     ),
     Kind(
-        "phrase", r"(?i:\b(?:password|passwd|pass|pwd|secret|token|api_?key|key))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=!-]{4,11}(?![A-Za-z0-9+/_.=!-])",
+        "phrase", r"(?i:password|passwd|pass|pwd|secret|token|api_?key|key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=!-]{4,}+",
         lambda t: t.rlike(r"(?i)pass|pwd|secret|token|key"),
     ),
     Kind(
@@ -72,10 +74,17 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     ).select("_row", "kind", "start", "end")
 
 
+def not_told_twice(spans: DataFrame) -> DataFrame:
+    """The spans without phrases that coincide with an assignment, which says the same."""
+    assign, phrase = NAMES.index("assign"), NAMES.index("phrase")
+    same = spans.filter(F.col("kind") == assign).select("_row", "start", "end", F.lit(phrase).alias("kind"))
+    return spans.join(same, ["_row", "start", "end", "kind"], "left_anti")
+
+
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), scope: int = SCOPE) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): every row of ``docs`` by number, and its strong and linked weak spans."""
     found = find(docs, text, list(keep), KINDS, "secret-pieces")
-    spans = materialize(placed(found, [], KINDS).drop("match"), "secret-parts")
+    spans = materialize(not_told_twice(placed(found, [], KINDS).drop("match")), "secret-parts")
     return found, spans.filter(F.col("kind") < len(BASE)).unionByName(linked(spans, scope))
 
 

@@ -276,6 +276,24 @@ def test_weak_parts_need_a_partner(spark):
     assert got == {1: {"account", "phrase", "endpoint"}, 5: {"access", "blob"}}
 
 
+def linked_parts(spark, texts):
+    found, spans = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return {(r.doc_id, secrets.NAMES[r.kind], texts[r.doc_id][r.start : r.end]) for r in spans.join(found, "_row").collect()}
+
+
+def test_long_phrases_and_prefixed_keywords(spark):
+    texts = [
+        "login: alice pwd = S3cretPassw0rd99", "user=bob pass: correcthorsebattery", "user=bob password: abc!defghijklmn",
+        "db_user=bob db_password=hunter2", "user: bob MYSQL_PWD=hunter2", "user=bob password=abcdefghijklmnop", "user=bob token=abcdefghijkl!mn",
+    ]
+    assert linked_parts(spark, texts) == {
+        (0, "account", "login: alice"), (0, "phrase", "pwd = S3cretPassw0rd99"), (1, "account", "user=bob"), (1, "phrase", "pass: correcthorsebattery"),
+        (2, "account", "user=bob"), (2, "phrase", "password: abc!defghijklmn"), (3, "account", "user=bob"), (3, "phrase", "password=hunter2"),
+        (4, "account", "user: bob"), (4, "phrase", "PWD=hunter2"), (5, "account", "user=bob"), (5, "assign", "password=abcdefghijklmnop"),
+        (6, "account", "user=bob"), (6, "assign", "token=abcdefghijkl"), (6, "phrase", "token=abcdefghijkl!mn"),
+    }
+
+
 def test_words_that_give_an_entity_away(spark):
     data = [(i, f"the doctor Zebulon of {w} may be written to at z@hill.org about common things") for i, w in enumerate("north south east west".split())]
     data += [(10 + i, f"common things are written about the doctor in {w} every day") for i, w in enumerate("one two three four five six".split())]
