@@ -36,7 +36,7 @@ BASE = [
 ]
 WEAK = [
     Kind(
-        "account", r"(?i:user(?:name)?|login|account|client_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,64}",
+        "account", r"(?i:(?:user|account)(?:_?name)?|login|client_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,}+",
         lambda t: t.rlike(r"(?i)user|login|account|client"),
     ),
     Kind(
@@ -44,10 +44,10 @@ WEAK = [
         lambda t: t.rlike(r"(?i)pass|pwd|secret|token|key"),
     ),
     Kind(
-        "blob", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,63}[0-9])(?=[a-z0-9+/]{0,63}[A-Z])(?=[A-Z0-9+/]{0,63}[a-z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=])",
-        lambda t: t.rlike(r"[A-Za-z0-9+/]{32}"),
+        "blob", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+={0,2}", lambda t: t.rlike(r"[A-Za-z0-9+/]{32}"),
+        lambda m: m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]"),
     ),
-    Kind("endpoint", r"\b[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._~%:@/?&=-]{4,200}", lambda t: t.contains("://")),
+    Kind("endpoint", r"\b[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._~%:@/?&=-]{4,}+", lambda t: t.contains("://")),
 ]
 KINDS = BASE + WEAK
 NAMES = [k.name for k in KINDS]
@@ -60,8 +60,10 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak spans (_row, kind, start, end) with a complementary part in scope that lies beside them."""
     secret = F.col("kind").isin([i for i, n in enumerate(NAMES) if ROLES[n] == "secret"])
     parts = spans.select("_row", "kind", "start", "end", secret.alias("secret"))
-    weak = parts.filter(F.col("kind") >= len(BASE)).withColumn("stretch", F.expr(f"start div {scope}"))
-    reach = F.sequence(F.expr(f"greatest(start - {scope}, 0) div {scope} - 1"), F.expr(f"(end + {scope}) div {scope}"))
+    # a long part lies in several stretches
+    touched = F.sequence(F.expr(f"start div {scope}"), F.expr(f"end div {scope}"))
+    weak = parts.filter(F.col("kind") >= len(BASE)).withColumn("stretch", F.explode(touched))
+    reach = F.sequence(F.expr(f"greatest(start - {scope}, 0) div {scope}"), F.expr(f"(end + {scope}) div {scope}"))
     other = parts.select(
         F.col("_row").alias("o_row"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
         F.col("secret").alias("o_secret"), F.explode(reach).alias("o_stretch"),
@@ -71,7 +73,7 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     beside = (F.col("secret") != F.col("o_secret")) & (gap >= 0) & (gap <= scope)
     return weak.join(
         other, (F.col("_row") == F.col("o_row")) & (F.col("stretch") == F.col("o_stretch")) & beside, "left_semi"
-    ).select("_row", "kind", "start", "end")
+    ).select("_row", "kind", "start", "end").distinct()
 
 
 def not_told_twice(spans: DataFrame) -> DataFrame:
