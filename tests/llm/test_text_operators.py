@@ -144,6 +144,19 @@ def test_lines_beyond_the_counters(spark):
     assert got == {1: [], 2: [0], 3: []}
 
 
+def test_lines_beyond_the_counters_have_a_simhash_of_all_words(spark):
+    many = [f"word{i % 977}" for i in range(40_000)]
+    changed = many[:20_000] + ["changed"] + many[20_001:]
+    data = [(1, " ".join(many)), (2, " ".join(changed)), (3, " ".join(f"other{i % 977}" for i in range(70_000)))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    words = {r.w: r.h & (2**64 - 1) for r in df.select(F.explode(F.array_distinct(F.split("text", " "))).alias("w")).withColumn("h", F.xxhash64("w")).collect()}
+    for r in lines.occurrences(df, "text", "doc_id").collect():
+        held = Counter(dict(data)[r.doc_id].split(" "))
+        want = sum(1 << b for b in range(64) if 2 * sum(c for w, c in held.items() if words[w] >> b & 1) > held.total())
+        assert r.sim & (2**64 - 1) == want
+    assert {r["_row"].doc_id: r.removed for r in lines.dedup_lines(df).collect()} == {1: [], 2: [0], 3: []}
+
+
 # ---- quality ----------------------------------------------------------------------------------
 
 
