@@ -157,6 +157,23 @@ def test_lines_beyond_the_counters_have_a_simhash_of_all_words(spark):
     assert {r["_row"].doc_id: r.removed for r in lines.dedup_lines(df).collect()} == {1: [], 2: [0], 3: []}
 
 
+@pytest.mark.parametrize("n, edits, least", [(7, 1, 0.9), (15, 1, 0.95), (30, 1, 0.95), (30, 3, 0.95), (60, 6, 0.95), (150, 15, 0.95)])
+def test_recall_of_planted_edits(spark, n, edits, least):
+    rng = np.random.default_rng(n + edits)
+    pairs = []
+    for k in range(150):
+        words = [f"{rng.integers(10**6):06d}" for _ in range(n)]
+        changed = list(words)
+        for i in rng.choice(n, edits, replace=False):
+            changed[i] = f"{rng.integers(10**6):06d}"
+        pairs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
+    out = lines.dedup_lines(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    # every pair is within 20 percent, no line is near another pair's
+    gone = {r["_row"].doc_id for r in out if r.removed}
+    print(f"recall of {edits} of {n} words: {len(gone) / 150:.3f}")
+    assert all(i % 2 for i in gone) and len(gone) >= least * 150
+
+
 # ---- quality ----------------------------------------------------------------------------------
 
 
