@@ -10,7 +10,8 @@ work, else the node branches on, twice, and what is left at the last level is co
 Pairs inside a group need no further comparison, so a large group of near copies costs a link per member and tree,
 not a pair.  A 128-bit sketch of the signatures rules out unlike pairs inside the join, before they become rows.
 
-Enough trees are walked that a pair at the threshold meets in one with probability ``recall``.
+Enough trees are walked that a pair at the threshold meets in one with probability ``recall``, given that all of them
+draw on one signature and that its nodes may branch as often as any do.
 
 Nulls and empty texts have the empty set, which is linked with nothing.  Texts are read whole,
 whatever their length.  Equal rows share a class; a null doc_id counts as larger than all others in its group.
@@ -42,7 +43,7 @@ FEW, FANOUT = 1_000, 20  # a level more for every FANOUT times as many classes b
 DEEPER = 6  # levels that nodes branch on at most
 AGAIN = 2  # further rounds of links to one member of a node
 WORK = 4_000_000  # comparisons in a node that need no branching
-PLACES = 64  # tokens in a signature
+PLACES, SKETCHED = 128, 64  # tokens in a signature, and those of them in a sketch
 CERTAIN = 5.2  # standard deviations by which a sketch may miss its expectation
 
 RNG = np.random.default_rng(448)
@@ -50,8 +51,24 @@ FLIPS = RNG.integers(0, 2**63, PLACES, dtype=np.uint64)
 FACTORS = RNG.integers(0, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def trees_for(recall: float, similarity: float, levels: int) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**levels))
+def trees_for(recall: float, similarity: float, levels: int, deeper: int = DEEPER) -> int:
+    """Trees that a pair needs to meet in one, also if it must survive ``deeper`` times branching in two.
+
+    Given the share of places in which its signatures agree, trees are independent; the share is binomial.
+    """
+    share = np.arange(PLACES + 1) / PLACES
+    weight = np.array([math.comb(PLACES, k) * similarity**k * (1 - similarity) ** (PLACES - k) for k in range(PLACES + 1)])
+    if weight[0] >= 1 - recall:
+        raise ValueError(f"signatures of {PLACES} places cannot reach a recall of {recall} at a similarity of {similarity}")
+    stays = np.ones(PLACES + 1)
+    for _ in range(deeper):
+        stays = 1 - (1 - share * stays) ** 2
+    missed = 1 - share**levels * stays
+    enough = lambda n: (weight * missed**n).sum() <= 1 - recall
+    most = 1
+    while not enough(most):
+        most *= 2
+    return next(n for n in range(most // 2, most + 1) if n and enough(n))
 
 
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -109,8 +126,8 @@ def _signs(column: pd.Series) -> np.ndarray:
 
 
 def _sketches(signs: np.ndarray) -> dict[str, np.ndarray]:
-    """Two bits of every token of the signature."""
-    bits = [((signs >> i) & 1).astype(np.uint8) for i in (0, 1)]
+    """Two bits of every token in the first places of the signature."""
+    bits = [((signs[:, :SKETCHED] >> i) & 1).astype(np.uint8) for i in (0, 1)]
     low, high = (np.packbits(b, axis=1, bitorder="little").view(np.int64).ravel() for b in bits)
     return {"low": low, "high": high}
 
@@ -158,7 +175,7 @@ def alike(a: str, b: str, percent: int) -> Column:
     A place with unlike tokens has 0, 1 or 2 unlike bits: one on average, and 1.5 for the square.
     """
     p = 1 - percent / 100
-    most = math.floor(PLACES * p + CERTAIN * math.sqrt(PLACES * (1.5 * p - p * p)))
+    most = math.floor(SKETCHED * p + CERTAIN * math.sqrt(SKETCHED * (1.5 * p - p * p)))
     unlike = [F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in ("low", "high")]
     return (unlike[0] + unlike[1] <= most) & _near_in_size(f"{a}.n", f"{b}.n", percent)
 
@@ -206,7 +223,7 @@ def grouped(
     )
     classes = materialize(classes, "classes")
     levels = max(LEVELS, math.ceil(math.log(max(1, classes.count() / FEW), FANOUT)))
-    trees = trees_for(recall, percent / 100, levels)
+    trees = trees_for(recall, percent / 100, levels, deeper)
 
     def links(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.select("a", "b").distinct(), "pairs")

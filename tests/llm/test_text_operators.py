@@ -75,6 +75,26 @@ def test_one_of_equal_rows_stays(spark):
     assert minhash.one_of_each(df).count() == 1
 
 
+@pytest.mark.parametrize("levels, deeper", [(3, 0), (3, 6), (4, 6)])
+def test_recall_at_the_threshold(levels, deeper):
+    rng, n = np.random.default_rng(levels + deeper), 100_000
+    x = rng.integers(0, 2**16, (n, minhash.PLACES)).astype("<u2")
+    y = np.where(rng.random(x.shape) < 0.8, x, rng.integers(0, 2**16, x.shape)).astype("<u2")
+    for tree in range(minhash.trees_for(0.9999, 0.8, levels)):
+        # the nodes that both are in, with the row of each
+        at = np.arange(len(x))
+        path = minhash.V.mixed(np.full(len(x), tree + 1, np.uint64))
+        for salts in [(0,)] * levels + [(1, 2)] * deeper:
+            both = []
+            for salt in salts:
+                a, b = minhash._step(path, x[at], salt), minhash._step(path, y[at], salt)
+                both.append((at[a == b], a[a == b]))
+            at, path = (np.concatenate(c) for c in zip(*both))
+        left = np.setdiff1d(np.arange(len(x)), at)
+        x, y = x[left], y[left]
+    assert len(x) <= 25  # 10 are expected at most
+
+
 # ---- lines ------------------------------------------------------------------------------------
 
 
