@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitslice, lines, minhash, mixing, packing, privacy, quality, secrets, sharding, training_order
+from . import bitslice, filter_audit, lines, minhash, mixing, packing, phrases, privacy, quality, secrets, sharding, training_order, winnowing
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,8 +22,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": packing.op8_pack,
     "op9_quality": quality.op9_quality,
     "op10_privacy": privacy.op10_privacy,
+    "op11_phrases": phrases.op11_phrases,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_decontaminate": winnowing.op13_decontaminate,
+}
+SQL: dict[str, str] = {
+    "op3_mix": mixing.OP3_SQL, "op7_topk": bitslice.OP7_SQL, "op11_phrases": phrases.OP11_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL, "op13_decontaminate": winnowing.OP13_SQL,
 }
-SQL: dict[str, str] = {"op3_mix": mixing.OP3_SQL, "op7_topk": bitslice.OP7_SQL}
 
 
 def importable(spark: SparkSession) -> None:
