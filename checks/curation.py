@@ -111,11 +111,26 @@ def inspect_rows(spark, sf):
     return tables.inspect_source(V.battles(spark, sf))["rows"]
 
 
-@query("inspect_columns")
-def inspect_columns(spark, sf):
+@query("inspect_battles")
+def inspect_battles(spark, sf):
     return tables.inspect_source(V.battles(spark, sf))["columns"]
 
 
+DOCUMENT_COLUMNS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")]
+
+
+@query(
+    "inspect_columns",
+    "WITH f AS (SELECT * FROM documents ORDER BY doc_id LIMIT 1) "
+    + " UNION ALL ".join(
+        f"""SELECT {i}::INT AS position, '{c}' AS "column", '{t}' AS type, left(CAST({c} AS VARCHAR), 300) AS first_value FROM f"""
+        for i, (c, t) in enumerate(DOCUMENT_COLUMNS)
+    ),
+)
+def inspect_columns(spark, sf):
+    return tables.inspect_columns(V.table(spark, sf, "documents"), first_by="doc_id")
+
+
 @query("sink_parquet", f"WITH {V.ANSWERS} SELECT row_id, family, domain, input, output FROM answers")
 def sink_parquet(spark, sf):
     path = new_path(spark, "rows")

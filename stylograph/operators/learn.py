@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 from ..functions.style import FEATURES, style_features
 from ..functions.text import field_view
 from ..session import materialize, shared_dir
+from . import wide
 from .compare import time_features
 from .tfidf import CHARS, WORDS, Block, FittedBlock, as_vectors, fit_blocks
 
 TIME_FEATURES = ["day", "hour"]
 PARALLEL_FITS = 4
-MODELS = {m.__name__: m for m in (LogisticRegressionModel, OneVsRestModel, RandomForestClassificationModel)}
+MODELS = {m.__name__: m for m in (LogisticRegressionModel, OneVsRestModel, RandomForestClassificationModel, wide.WideModel)}
 ABOUT = "kind string, labels array<string>, mode string, features array<string>"
 BLOCKS = "offset int, name string, sizes array<int>, max_terms int, min_df int, terms array<string>, idf array<double>"
 FOREST_DEPTH, BOOSTED_DEPTH = 10, 5
+TOLERANCE = 1e-4
 
 
 def label_index(labels: list[str], label: str = "family") -> Column:
@@ -37,7 +39,7 @@ def label_index(labels: list[str], label: str = "family") -> Column:
 class Classifier:
     """A fitted model with what it takes to score new rows."""
 
-    model: Model
+    model: Model | wide.WideModel
     labels: list[str]
     mode: str = "output"
     features: list[str] = field(default_factory=list)
@@ -50,15 +52,20 @@ class Classifier:
 
 
     def save(self, path: str) -> None:
-        """The model by Spark ML's own writer, and beside it what it takes to score."""
-        self.model.write().overwrite().save(f"{path}/model")
-        spark = SparkSession.getActiveSession()
+        """The model by its own writer, and beside it what it takes to score."""
+        if isinstance(self.model, wide.WideModel):
+            self.model.save(f"{path}/model")
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.active()
         about = [(type(self.model).__name__, self.labels, self.mode, self.features)]
         spark.createDataFrame(about, ABOUT).write.mode("overwrite").parquet(f"{path}/about")
         blocks = [
             (f.offset, f.block.name, list(f.block.sizes), f.block.max_terms, f.block.min_df, f.terms, f.idf) for f in self.blocks
         ]
         spark.createDataFrame(blocks, BLOCKS).write.mode("overwrite").parquet(f"{path}/blocks")
+        if self.blocks:  # for whoever reads the weights, not the model
+            coefficient_table(spark, self).write.mode("overwrite").parquet(f"{path}/terms")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Classifier:
@@ -70,20 +77,99 @@ class Classifier:
         return cls(MODELS[about.kind].load(f"{path}/model"), about.labels, about.mode, about.features, blocks)
 
 
+def coefficient_table(spark: SparkSession, clf: Classifier) -> DataFrame:
+    """(label, block, term, weight) of a linear text model; labels x terms rows."""
+    matrix = clf.model.coefficientMatrix.toArray()
+    terms = [(f.block.name, t) for f in clf.blocks for t in f.terms]
+    # fitted parameters, already on the driver: an array per label, taken apart by the executors
+    rows = [(label, matrix[k].tolist()) for k, label in enumerate(clf.labels[: matrix.shape[0]])]
+    names = spark.createDataFrame([([b for b, _ in terms], [t for _, t in terms])], "blocks array<string>, terms array<string>")
+    weights = spark.createDataFrame(rows, "label string, weights array<double>")
+    # one row of names
+    together = weights.crossJoin(F.broadcast(names))
+    each = F.arrays_zip(F.col("blocks").alias("block"), F.col("terms").alias("term"), F.col("weights").alias("weight"))
+    return together.select("label", F.explode(each).alias("e")).select("label", "e.*")
+
+
+def probabilities(margins: Column | str, kind: str = "linear") -> Column:
+    """Class probabilities of an array of margins.
+
+    ``linear``: soft-max, from which the largest margin is taken off first, so that no power overflows.  ``forest``: shares of the votes.
+    ``one_vs_rest``: each margin squashed by itself, then scaled to sum 1.  All margins of a row equal (zero votes too) give equal shares.
+    """
+    margins = F.col(margins) if isinstance(margins, str) else margins
+    if kind == "linear":
+        top = F.array_max(margins)
+        raw = F.transform(margins, lambda x: F.exp(x - top))
+    elif kind == "one_vs_rest":
+        raw = F.transform(margins, lambda x: 1.0 / (1.0 + F.exp(-2.0 * x)))
+    elif kind == "forest":
+        raw = margins
+    else:
+        raise ValueError(f"unknown kind {kind!r}")
+    total = F.aggregate(raw, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(raw, lambda x: F.coalesce(F.try_divide(x, total), 1.0 / F.size(margins)))
+
+
+def best_label(values: Column | str, labels: list[str]) -> Column:
+    """The first label with the highest value."""
+    names = F.array(*[F.lit(x) for x in labels])
+    return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))
+
+
+def predict_margins(rows: DataFrame, margins: str, labels: list[str], keep: list[str], kind: str = "linear") -> DataFrame:
+    """(keep, pred, probs) of rows with an array of margins, whatever made them."""
+    scored = rows.select(*keep, probabilities(margins, kind).alias("probs"))
+    return scored.withColumn("pred", best_label("probs", labels))
+
+
 def predict_batch(clf: Classifier, vectors: DataFrame, keep: list[str]) -> DataFrame:
     """(keep, pred, probs): class probabilities and the first class with the highest one."""
-    scored = clf.model.transform(vectors)
-    if "probability" in scored.columns:
-        probs = vector_to_array("probability")
-    else:
-        # one-vs-rest gives margins: squash each, then scale to sum 1
-        raw = F.transform(vector_to_array("rawPrediction"), lambda x: 1.0 / (1.0 + F.exp(-2.0 * x)))
-        total = F.aggregate(raw, F.lit(0.0), lambda a, x: a + x)
-        probs = F.transform(raw, lambda x: x / total)
-    scored = scored.select(*keep, probs.alias("probs"))
-    names = F.array(*[F.lit(x) for x in clf.labels])
-    best = F.array_position("probs", F.array_max("probs")).cast("int")
-    return scored.withColumn("pred", F.element_at(names, best))
+    if isinstance(clf.model, wide.WideModel):
+        return predict_margins(clf.model.margins(vectors, keep), "_margins", clf.labels, keep)
+    kinds = {LogisticRegressionModel: "linear", RandomForestClassificationModel: "forest", OneVsRestModel: "one_vs_rest"}
+    margins = clf.model.transform(vectors).select(*keep, vector_to_array("rawPrediction").alias("_margins"))
+    return predict_margins(margins, "_margins", clf.labels, keep, kinds[type(clf.model)])
+
+
+@dataclass
+class Prepared:
+    """Training vectors, written once, with what a classifier fitted on them needs besides."""
+
+    vectors: DataFrame  # label, features
+    labels: list[str]
+    mode: str = "output"
+    features: list[str] = field(default_factory=list)
+    blocks: list[FittedBlock] = field(default_factory=list)
+
+
+def prepare_linear_text(
+    train: DataFrame, labels: list[str], mode: str = "output", label: str = "family", blocks: tuple[Block, ...] = (WORDS, CHARS)
+) -> Prepared:
+    """Word and character TF-IDF vectors of one field.
+
+    The field is derived once: every block's terms and the vectors read it.
+    """
+    text = materialize(train.select(label, field_view(mode).alias("_field")), "field")
+    fitted = fit_blocks(text, "_field", blocks)
+    vectors = as_vectors(text, "_field", fitted, [label]).withColumn("label", label_index(labels, label))
+    return Prepared(vectors, labels, mode, blocks=fitted)
+
+
+def fit_linear(data: Prepared, strength: float = 4.0, max_iter: int = 2000, tol: float = TOLERANCE) -> Classifier:
+    """Multinomial logistic regression on prepared vectors.
+
+    ``strength`` weighs the loss against half the squared coefficients, so Spark's penalty is
+    1 / (strength * n).  The loss is strictly convex, so there is one best model; tables with few rows are fitted in
+    the span of their rows, which is the same one (``wide``).
+    """
+    n = data.vectors.count()
+    lr = LogisticRegression(
+        family="multinomial", maxIter=max_iter, regParam=1.0 / (strength * n), elasticNetParam=0.0, standardization=False, tol=tol,
+    )
+    few = n <= wide.MOST_ROWS and n < sum(f.size for f in data.blocks)
+    model = wide.fit_in_span(data.vectors, lr) if few else lr.fit(data.vectors)
+    return Classifier(model, data.labels, data.mode, blocks=data.blocks)
 
 
 def fit_linear_text(
@@ -93,19 +179,8 @@ def fit_linear_text(
     """Multinomial logistic regression on word and character TF-IDF of one field.
 
     Vectors are written once: every optimizer step reads them, none repeats the text work.
-    ``strength`` weighs the loss against half the squared coefficients, so Spark's penalty is
-    1 / (strength * n).
     """
-    # the field is derived once: every block's terms and the vectors read it
-    text = materialize(train.select(label, field_view(mode).alias("_field")), "field")
-    fitted = fit_blocks(text, "_field", blocks)
-    vectors = as_vectors(text, "_field", fitted, [label]).withColumn("label", label_index(labels, label))
-    n = vectors.count()
-    lr = LogisticRegression(
-        family="multinomial", maxIter=max_iter, regParam=1.0 / (strength * n), elasticNetParam=0.0,
-        standardization=False, tol=1e-4,
-    )
-    return Classifier(lr.fit(vectors), labels, mode, blocks=fitted)
+    return fit_linear(prepare_linear_text(train, labels, mode, label, blocks), strength, max_iter)
 
 
 def _fit_boosted(vectors: DataFrame, rounds: int, rate: float, depth: int, seed: int) -> Model:
@@ -123,23 +198,34 @@ def _fit_forest(vectors: DataFrame, trees: int, depth: int, seed: int) -> Model:
     return forest.fit(vectors)
 
 
-def fit_trees(
-    train: DataFrame, labels: list[str], features: list[str], label: str = "family", rounds: int = 300,
-    rate: float = 0.08, depth: int | None = None, seed: int = 0, boosted: bool = False,
+def prepare_numbers(train: DataFrame, labels: list[str], features: list[str], label: str = "family") -> Prepared:
+    """Vectors of numeric columns."""
+    numbered = train.withColumn("label", label_index(labels, label)).select("label", *features)
+    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(numbered)
+    return Prepared(materialize(vectors.select("label", "features"), "vectors"), labels, features=features)
+
+
+def fit_prepared_trees(
+    data: Prepared, rounds: int = 300, rate: float = 0.08, depth: int | None = None, seed: int = 0, boosted: bool = False
 ) -> Classifier:
-    """A forest of ``rounds`` trees on numeric columns, all classes at once.
+    """A forest of ``rounds`` trees on prepared vectors, all classes at once.
 
     ``boosted`` fits one booster per class instead (Spark's booster knows two classes): as many jobs
     in sequence as rounds times depth, for about the same accuracy.
     """
-    numbered = train.withColumn("label", label_index(labels, label)).select("label", *features)
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(numbered)
-    vectors = materialize(vectors.select("label", "features"), "vectors")
     if boosted:
-        model = _fit_boosted(vectors, rounds, rate, depth or BOOSTED_DEPTH, seed)
+        model = _fit_boosted(data.vectors, rounds, rate, depth or BOOSTED_DEPTH, seed)
     else:
-        model = _fit_forest(vectors, rounds, depth or FOREST_DEPTH, seed)
-    return Classifier(model, labels, features=features)
+        model = _fit_forest(data.vectors, rounds, depth or FOREST_DEPTH, seed)
+    return Classifier(model, data.labels, features=data.features)
+
+
+def fit_trees(
+    train: DataFrame, labels: list[str], features: list[str], label: str = "family", rounds: int = 300,
+    rate: float = 0.08, depth: int | None = None, seed: int = 0, boosted: bool = False,
+) -> Classifier:
+    """``fit_prepared_trees`` on numeric columns."""
+    return fit_prepared_trees(prepare_numbers(train, labels, features, label), rounds, rate, depth, seed, boosted)
 
 
 def fit_style_trees(

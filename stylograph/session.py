@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+OWN_NAME = re.compile(r"/[^/]+-[0-9a-f]{32}$")  # of folders that new_path names
 _own: dict[str, str] = {}  # folders of local sessions without the setting, by application
 
 
@@ -42,3 +44,13 @@ def materialize(df: DataFrame, name: str, schema: StructType | None = None) -> D
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes what ``materialize`` wrote for these tables, once nothing reads it any more; other inputs stay."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if OWN_NAME.search(path):
+                at = context._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)

@@ -57,12 +57,15 @@ def known_labels(df: DataFrame, labels: list[str], label: str = "family") -> Dat
     return df.select(label).distinct().join(F.broadcast(order), label).select(label, "position")
 
 
-def inspect_columns(df: DataFrame, cut: int = 300) -> DataFrame:
-    """One row per column: name, type and the first row's value cut to ``cut`` characters."""
+def inspect_columns(df: DataFrame, cut: int = 300, first_by: str | None = None) -> DataFrame:
+    """One row per column: name, type and the first row's value cut to ``cut`` characters.
+
+    The first row is the one read first, or the one with the smallest ``first_by``, which does not depend on the files' order.
+    """
     schema = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
     names = df.sparkSession.createDataFrame(schema, "position int, column string, type string")
     values = F.array(*[F.left(F.col(c).cast("string"), F.lit(cut)) for c in df.columns])
-    first = df.limit(1).select(F.posexplode(values).alias("position", "first_value"))
+    first = (df.orderBy(first_by) if first_by else df).limit(1).select(F.posexplode(values).alias("position", "first_value"))
     # as many rows as the table has columns
     return names.join(F.broadcast(first), "position", "left")
 

@@ -69,7 +69,7 @@ def test_finished_runs_are_not_fitted_again(grid, processed, monkeypatch):
     train, _, test = E.split_parts(processed)
     todo = [E.Run("linear", "input"), E.Run("style")]
     first = E.experiment_grid(grid, todo, train, {"test": test}).select("run_key", "row_id", "pred").collect()
-    monkeypatch.setattr(E, "fit", lambda *a: pytest.fail("fitted again"))
+    monkeypatch.setattr(E, "fit_on", lambda *a: pytest.fail("fitted again"))
     again = E.experiment_grid(grid, todo, train, {"test": test}).select("run_key", "row_id", "pred").collect()
     assert sorted(first) == sorted(again) and len({r.run_key for r in first}) == 2
     with pytest.raises(BaseException, match="fitted again"):
@@ -81,7 +81,7 @@ def test_a_run_is_done_again_when_what_it_reads_changes(grid, processed):
     todo = [E.Run("linear", "input"), E.Run("linear", variant="no_masking"), E.Run("style"), E.Run("time", "time")]
 
     def keys(df):
-        return [r.run_key for r in sorted(E.plan_runs(grid, todo, df, {"test": test})[0].collect(), key=lambda r: (r.kind, r.variant))]
+        return [r.run_key for r in sorted(E.plan_runs(grid, [E.Job(r, df, {"test": test}) for r in todo])[0].collect(), key=lambda r: (r.kind, r.variant))]
 
     before = keys(train)  # linear unmasked, linear on the input, style, time
     changes = {
