@@ -2,7 +2,7 @@
 
 Texts are cut into pieces at punctuation, pieces into words; a suffix is a word's place in its piece with the words that follow.
 Frequent phrases are the large groups of equal leading words in the sorted suffixes.  Words and pairs of words are counted first:
-they tell which suffixes can lead to a frequent phrase of three words or more, and how to route them.  Suffixes go to partitions by their two
+they tell which suffixes can lead to a frequent phrase, and how to route them (pairs are counted by hash; what is reported is counted by its words).  Suffixes go to partitions by their two
 leading words, those of the heaviest pairs by a salt of the words that follow besides.  There they are sorted by a multikey
 three-way quicksort of suffix pointers: a pointer set is split by a pivot word into smaller, equal and larger ones; the size of the equal part
 is the count of its phrase, and it is split by the next word.  Parts with fewer than ``least`` occurrences are abandoned, unless the group
@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import materialize
+from ..session import discard, materialize
 from . import bitmaps
 from . import common as C
+from . import words as V
 from .arrow_texts import raw
 
 LONGEST = 5  # words
@@ -67,24 +68,19 @@ class Stretch:
         ends = np.flatnonzero(~self.is_word)
         at = np.arange(len(words))
         self.left = ends[np.searchsorted(ends, at)] - at  # words of the piece from each place on
+        self.hashed = self.hashes(self.words)[self.codes]
 
     def hashes(self, phrases: list[bytes]) -> np.ndarray:
         """What Spark's xxhash64(lang, phrase) gives."""
         seed = xxhash.xxh64_intdigest(self.lang.encode(), seed=int(SEED))
         return np.fromiter((xxhash.xxh64_intdigest(p, seed=seed) for p in phrases), np.uint64, len(phrases))
 
-    def counts(self, at: np.ndarray, width: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """(different runs of ``width`` words at the places, how often each occurs, number of each place's run)."""
-        size = np.int64(len(self.words))
-        key = self.codes[at].astype(np.int64)
-        for step in range(1, width):  # two words at a time: their product fits
-            key = key * size + self.codes[at + step]
-            if step + 1 < width:
-                key = np.unique(key, return_inverse=True)[1]
-        _, first, of, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        rows = [self.codes[at[first] + i] for i in range(width)]
-        runs = [b" ".join(map(self.words.__getitem__, r)) for r in zip(*rows)]
-        return runs, n, of
+    def pairs(self, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of two good words in a row, a hash of language and words for each)."""
+        at = np.flatnonzero(good & (self.left >= 2))
+        at = at[good[at + 1]]
+        with np.errstate(over="ignore"):
+            return at, V.mixed(self.hashed[at] * V.A + V.mixed(self.hashed[at + 1]) * V.B)
 
 
 def per_stretch(docs: DataFrame, count, schema: str) -> DataFrame:
@@ -111,66 +107,73 @@ def per_stretch(docs: DataFrame, count, schema: str) -> DataFrame:
 
 
 def _batch(lang: str, n: np.ndarray, **texts: list[bytes]) -> pa.RecordBatch:
-    columns = {"lang": pa.array([lang] * len(n), pa.string()), **{k: pa.array(v, pa.binary()).cast(pa.string()) for k, v in texts.items()}}
+    columns = {"lang": pa.repeat(pa.scalar(lang), len(n)), **{k: pa.array(v, pa.binary()).cast(pa.string()) for k, v in texts.items()}}
     return pa.RecordBatch.from_pydict({**columns, "n": pa.array(n, pa.int64())})
 
 
-def _words(s: Stretch) -> Iterator[pa.RecordBatch]:
-    n = np.bincount(s.codes, minlength=len(s.words))
-    keep = [i for i, w in enumerate(s.words) if w != MARK]
-    yield _batch(s.lang, n[keep], phrase=[s.words[i] for i in keep])
-
-
-def _frequent(s: Stretch, bitmap: np.ndarray) -> np.ndarray:
-    """Places of words that may be frequent."""
-    return s.is_word & bitmaps.holds(bitmap, s.hashes(s.words))[s.codes]
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """(lang, phrase, n) of all words."""
-    return per_stretch(docs, _words, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+    def words(s: Stretch) -> Iterator[pa.RecordBatch]:
+        n = np.bincount(s.codes, minlength=len(s.words))
+        keep = [i for i, w in enumerate(s.words) if w != MARK]
+        yield _batch(s.lang, n[keep], phrase=[s.words[i] for i in keep])
+
+    return per_stretch(docs, words, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def count_pairs(docs: DataFrame, words: np.ndarray, least: int) -> DataFrame:
-    """(lang, phrase, n) of the frequent pairs of frequent words."""
+    """(key, n) of the frequent pairs of frequent words, by their hashes: they only say where to look on."""
     kept = docs.sparkSession.sparkContext.broadcast(words)
 
     def pairs(s: Stretch) -> Iterator[pa.RecordBatch]:
-        good = _frequent(s, kept.value)
-        at = np.flatnonzero(good & (s.left >= 2))
-        at = at[good[at + 1]]
-        if len(at):
-            runs, n, _ = s.counts(at, 2)
-            yield _batch(s.lang, n, phrase=runs)
+        _, keys = s.pairs(s.is_word & bitmaps.holds(kept.value, s.hashed))
+        different, n = np.unique(keys, return_counts=True)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(different.view(np.int64)), "n": pa.array(n, pa.int64())})
 
-    told = per_stretch(docs, pairs, "lang string, phrase string, n bigint")
-    return told.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return per_stretch(docs, pairs, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def suffixes(docs: DataFrame, words: np.ndarray, pairs: np.ndarray) -> DataFrame:
-    """(lang, head, rest, n): leading pair and the one to three words after it, as far as all pairs on the way are frequent."""
-    kept = docs.sparkSession.sparkContext.broadcast((words, pairs))
+def suffixes(docs: DataFrame, words: np.ndarray, pairs: np.ndarray, heavy: np.ndarray) -> DataFrame:
+    """(lang, head, rest, n, salt): leading pair and up to three words after it, as far as all pairs on the way are frequent."""
+    kept = docs.sparkSession.sparkContext.broadcast((words, pairs, heavy))
 
     def run(s: Stretch) -> Iterator[pa.RecordBatch]:
-        good = _frequent(s, kept.value[0])
-        at = np.flatnonzero(good & (s.left >= 2))
-        at = at[good[at + 1]]
+        frequent_words, frequent_pairs, heaviest = kept.value
+        at, keys = s.pairs(s.is_word & bitmaps.holds(frequent_words, s.hashed))
+        held = bitmaps.holds(frequent_pairs, keys)
+        at, keys = at[held], keys[held]
         if not len(at):
             return
-        runs, _, of = s.counts(at, 2)
         pair = np.zeros(len(s.codes) + LONGEST, bool)
-        pair[at] = bitmaps.holds(kept.value[1], s.hashes(runs))[of]
-        length = np.full(len(s.codes), 2)
+        pair[at] = True
+        length = np.full(len(at), 2)
         for step in range(1, LONGEST - 1):  # one more word while the pair that ends there is frequent
-            length += (length == step + 1) & pair[step : step + len(s.codes)]
+            length += (length == step + 1) & pair[at + step]
+        size = np.int64(len(s.words) + 1)
+        of = s.codes[at].astype(np.int64)
+        for step in range(1, LONGEST):
+            after = np.where(length > step, s.codes[np.minimum(at + step, len(s.codes) - 1)] + 1, 0)
+            of = np.unique(of * size + after, return_inverse=True)[1].astype(np.int64)
+        _, first, n = np.unique(of, return_index=True, return_counts=True)
+        at, keys, length = at[first], keys[first], length[first]
+        # a text for each different leading pair, then the words after it
+        _, leads, head = np.unique(keys, return_index=True, return_inverse=True)
+        texts = [s.words[a] + b" " + s.words[b] for a, b in zip(s.codes[at[leads]].tolist(), s.codes[at[leads] + 1].tolist())]
+        rest, tail = [b""] * len(at), np.zeros(len(at), np.uint64)
         for width in range(3, LONGEST + 1):
-            places = np.flatnonzero(pair[: len(s.codes)] & (length == width))
-            if len(places):
-                whole, n, _ = s.counts(places, width)
-                cut = [w.split(b" ", 2) for w in whole]
-                yield _batch(s.lang, n, head=[b" ".join(c[:2]) for c in cut], rest=[c[2] for c in cut])
+            rows = np.flatnonzero(length == width)
+            columns = [s.codes[at[rows] + step].tolist() for step in range(2, width)]
+            for r, row in zip(rows.tolist(), zip(*columns)):
+                rest[r] = b" ".join([s.words[c] for c in row])
+            with np.errstate(over="ignore"):
+                for step in range(2, width):
+                    tail[rows] = V.mixed(tail[rows] * V.A + s.hashed[at[rows] + step])
+        salt = np.where(np.isin(keys, heaviest), 1 + (tail % np.uint64(SALTS)).astype(np.int64), 0)
+        rows = _batch(s.lang, n, head=[texts[h] for h in head.tolist()], rest=rest)
+        yield rows.append_column("salt", pa.array(salt, pa.int32()))
 
-    return per_stretch(docs, run, "lang string, head string, rest string, n bigint")
+    return per_stretch(docs, run, "lang string, head string, rest string, n bigint, salt int")
 
 
 def quicksorted(words: np.ndarray, n: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -196,7 +199,7 @@ def quicksorted(words: np.ndarray, n: np.ndarray, least: int) -> Iterator[tuple[
 
 
 def sorted_counts(routed: DataFrame, least: int, most: int) -> DataFrame:
-    """(lang, phrase, n): counts of the phrases of three words or more among routed suffixes, to be added up.
+    """(lang, phrase, n): counts of the phrases of two words or more among routed suffixes, to be added up.
 
     Partitions are sorted by leading pair, so only the first and the last pair of a chunk may go on elsewhere.
     """
@@ -214,7 +217,7 @@ def sorted_counts(routed: DataFrame, least: int, most: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in chunks(batches):
-            split = [r.split(" ") for r in chunk["rest"]]
+            split = [r.split(" ") if r else [] for r in chunk["rest"]]
             width = np.array([len(s) for s in split])
             codes, _ = pd.factorize(np.array([w for s in split for w in s], object))
             words = np.full((len(chunk), LONGEST - 2), -1)
@@ -226,6 +229,10 @@ def sorted_counts(routed: DataFrame, least: int, most: int) -> DataFrame:
             out = []
             for k, (a, b) in enumerate(zip(new, np.append(new[1:], len(chunk)))):
                 whole = 0 < k < len(new) - 1 and not salted[a]
+                total = int(n[a:b].sum())
+                if whole and total < least:
+                    continue
+                out.append((lang[a], head[a], total))
                 for at, depth, total in quicksorted(words[a:b], n[a:b], least if whole else 1):
                     out.append((lang[a], f"{head[a]} {' '.join(split[a + at][:depth])}", total))
             yield pd.DataFrame(out, columns=["lang", "phrase", "n"])
@@ -241,22 +248,19 @@ def frequent_phrases(
     every = materialize(count_words(rows), "words")
     totals = materialize(every.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
     words = every.filter(F.col("n") >= least)
-    key = F.xxhash64("lang", "phrase").alias("key")
-    frequent_words = bitmaps.build(words.select(key), "key")
+    frequent_words = bitmaps.build(words.select(F.xxhash64("lang", "phrase").alias("key")), "key")
     pairs = materialize(count_pairs(rows, frequent_words, least), "pairs")
-    longer = materialize(suffixes(rows, frequent_words, bitmaps.build(pairs.select(key), "key")), "suffixes")
-
-    heavy = pairs.orderBy(F.desc("n"), "lang", "phrase").limit(heaviest)
-    heavy = heavy.select("lang", F.col("phrase").alias("head"), F.lit(True).alias("heavy"))
-    salt = F.when(F.col("heavy"), 1 + F.pmod(F.xxhash64("rest"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    routed = longer.join(F.broadcast(heavy), ["lang", "head"], "left").select("lang", "head", "rest", "n", salt.alias("salt"))
+    heavy = np.array([r.key for r in pairs.orderBy(F.desc("n"), "key").limit(heaviest).collect()], np.int64).view(np.uint64)
+    longer = materialize(suffixes(rows, frequent_words, bitmaps.build(pairs, "key"), heavy), "suffixes")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), longer.count() // chunk)
-    routed = routed.repartition(parts, "lang", "head", "salt").sortWithinPartitions("lang", "head")
+    routed = longer.repartition(parts, "lang", "head", "salt").sortWithinPartitions("lang", "head")
     counted = sorted_counts(routed, least, chunk).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
-    found = words.select("lang", "phrase", "n").unionByName(pairs).unionByName(counted)
+    found = words.select("lang", "phrase", "n").unionByName(counted)
     size = (F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1).cast("int")
-    return materialize(found.select("lang", "phrase", size.alias("words"), "n"), "phrases"), totals
+    out = materialize(found.select("lang", "phrase", size.alias("words"), "n"), "phrases")
+    discard(every, pairs, longer)
+    return out, totals
 
 
 def _without_first(phrase: Column) -> Column:
