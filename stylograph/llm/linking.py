@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,4 +30,5 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-        now = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, now = now, materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(last)

@@ -108,7 +108,7 @@ def test_exact_lines_go_after_their_first_occurrence(docs, rows):
     for r in sorted(rows, key=lambda r: r.doc_id):
         for i, line in enumerate(r.text.split("\n")):
             n = norm(line)
-            if len(n.split(" ")) >= 5:
+            if len(n.split(" ")) >= 5 or len(n.replace(" ", "")) >= 20:
                 if n in seen:
                     want.setdefault(r.doc_id, set()).add(i)
                 seen.add(n)
@@ -141,7 +141,6 @@ def test_simhash_counts_every_bit(spark):
     df = spark.createDataFrame([(1, "one two three four five"), (2, "six seven eight nine ten eleven")], "doc_id long, text string")
     words = {r.w: r.h & (2**64 - 1) for r in df.select(F.explode(F.split("text", " ")).alias("w")).withColumn("h", F.xxhash64("w")).collect()}
     for r in lines.occurrences(df, "text", "doc_id").collect():
-        # fewer than five words have seven letters
         hashes = [words[w] for w in (dict(df.collect())[r.doc_id]).split(" ")]
         want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
         assert r.sim & (2**64 - 1) == want
@@ -161,7 +160,7 @@ def test_lines_beyond_the_counters(spark):
     many = " ".join(["abcdefgh"] * 40_000)
     data = [(1, many), (2, many.upper()), (3, many + " more")]
     got = {r["_row"].doc_id: r.removed for r in lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
-    assert got == {1: [], 2: [0], 3: []}
+    assert got == {1: [], 2: [0], 3: [0]}
 
 
 def test_lines_beyond_the_counters_have_a_simhash_of_all_words(spark):
@@ -177,21 +176,112 @@ def test_lines_beyond_the_counters_have_a_simhash_of_all_words(spark):
     assert {r["_row"].doc_id: r.removed for r in lines.dedup_lines(df).collect()} == {1: [], 2: [0], 3: []}
 
 
-@pytest.mark.parametrize("n, edits, least", [(7, 1, 0.9), (15, 1, 0.95), (30, 1, 0.95), (30, 3, 0.95), (60, 6, 0.95), (150, 15, 0.95)])
-def test_recall_of_planted_edits(spark, n, edits, least):
-    rng = np.random.default_rng(n + edits)
-    pairs = []
-    for k in range(150):
-        words = [f"{rng.integers(10**6):06d}" for _ in range(n)]
-        changed = list(words)
-        for i in rng.choice(n, edits, replace=False):
-            changed[i] = f"{rng.integers(10**6):06d}"
-        pairs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
-    out = lines.dedup_lines(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
-    # every pair is within 20 percent, no line is near another pair's
+def test_recall_of_planted_edits(spark):
+    """Word edits down to three quarters of the words in common, letter edits down to 98 percent: about nine in ten at the thresholds."""
+    rng = np.random.default_rng(12)
+    word = lambda: f"{rng.integers(10**6):06d}"
+    cases = [("word", 7, 1), ("word", 8, 1), ("word", 15, 1), ("word", 15, 2), ("word", 30, 2), ("word", 30, 4), ("word", 60, 8), ("word", 150, 21)]
+    cases += [("letter", 8, 1), ("letter", 15, 2), ("letter", 30, 4), ("letter", 60, 8), ("letter", 150, 20)]
+    rows, of = [], []
+    for case in cases:
+        kind, n, edits = case
+        for _ in range(100):
+            words = [word() for _ in range(n)]
+            changed = list(words)
+            for i in rng.choice(n, edits, replace=False):
+                changed[i] = word() if kind == "word" else words[i][:2] + "x" + words[i][3:]
+            rows += [(2 * len(of), " ".join(words)), (2 * len(of) + 1, " ".join(changed))]
+            of.append(case)
+    out = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     gone = {r["_row"].doc_id for r in out if r.removed}
-    print(f"recall of {edits} of {n} words: {len(gone) / 150:.3f}")
-    assert all(i % 2 for i in gone) and len(gone) >= least * 150
+    assert all(i % 2 for i in gone)  # no line is near another pair's
+    found = Counter(of[i // 2] for i in gone)
+    print("lines found of 100:", {c: found[c] for c in cases})
+    assert all(found[c] >= 80 for c in cases) and sum(found.values()) >= 90 * len(cases)
+
+
+def line_groups(rows):
+    """Groups of linked lines by comparing all pairs: (place, norm) to the first place of its group."""
+
+    def features(n):
+        return set(n.split(" ")) if n.count(" ") >= 4 else {n[i : i + 3] for i in range(len(n) - 2)}
+
+    def within(a, b, most):
+        before = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+            if min(now) > most:
+                return False
+            before = now
+        return before[-1] <= most
+
+    first = {}
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        for no, line in enumerate((r.text or "").split("\n")):
+            n = norm(line)
+            if n.count(" ") >= 4 or len(n.replace(" ", "")) >= 20:
+                first.setdefault(n, (r.doc_id, no))
+    norms, sets = list(first), [features(n) for n in first]
+    links = []
+    for i, a in enumerate(norms):
+        for j in range(i):
+            b = norms[j]
+            longer, both = max(len(a), len(b)), len(sets[i] & sets[j])
+            near = 4 * both >= 3 * len(sets[i] | sets[j])
+            most = longer * (20 if near else 2) // 100
+            # cheap bounds first: one edit changes at most two words
+            if abs(len(a) - len(b)) <= most and (near or both >= len(sets[i]) - 2 * most) and both and within(a, b, most):
+                links.append((a, b))
+    return first, links
+
+
+def test_line_groups_equal_all_pairs(spark, rows):
+    some = sorted(rows, key=lambda r: (len(r.text), r.doc_id))[:120]
+    first, links = line_groups(some)
+    top = {n: n for n in first}
+
+    def root(n):
+        while top[n] != n:
+            n = top[n]
+        return n
+
+    for a, b in links:
+        top[root(a)] = root(b)
+    groups = {}
+    for n, place in first.items():
+        groups.setdefault(root(n), []).append(place)
+    keep = {min(v) for v in groups.values()}
+    frame = spark.createDataFrame([(r.doc_id, r.text) for r in some], "doc_id long, text string")
+    wrong = 0
+    for r in lines.dedup_lines(frame).collect():
+        for no, line in enumerate(r["_row"].text.split("\n")):
+            if norm(line) in first:
+                wrong += (no in r.removed) == ((r["_row"].doc_id, no) in keep)
+    print(f"{len(links)} links, {len(first)} lines, {wrong} decided otherwise")
+    assert links and wrong <= 0.02 * len(links) + 1
+
+
+def test_short_and_unspaced_lines(spark):
+    sentence = "\u6211\u4eec\u5728\u8fd9\u91cc\u5199\u4e00\u4e2a\u6ca1\u6709\u7a7a\u683c\u7684\u53e5\u5b50\u7528\u6765\u6d4b\u8bd5\u53bb\u91cd\u6548\u679c"
+    data = [(i, f"Introduction\n{sentence}\nTable of contents") for i in range(5)]
+    got = {r["_row"].doc_id: r.removed for r in lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {0: [], 1: [1], 2: [1], 3: [1], 4: [1]}
+
+
+def test_heavy_keys_are_extended(spark):
+    """Lines of three common words and others of their own: all meet under one key, some are near."""
+    rng = np.random.default_rng(2)
+    base = "alphabeta gammadelta epsilonzeta"
+    rows = []
+    for i in range(700):
+        own = " ".join(f"{rng.integers(10**9):09d}" for _ in range(9))
+        rows.append((2 * i, f"{base} {own}"))
+        if i % 7 == 0:
+            rows.append((2 * i + 1, f"{base} {own[:-9]}{rng.integers(10**9):09d}"))
+    gone = {r["_row"].doc_id for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.removed}
+    assert gone <= {i for i, _ in rows if i % 2} and len(gone) >= 98
 
 
 # ---- quality ----------------------------------------------------------------------------------
