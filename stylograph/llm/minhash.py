@@ -41,9 +41,9 @@ RECALL = 0.9999
 LEVELS = 3  # least number of levels walked before nodes are looked at
 FEW, FANOUT = 1_000, 20  # a level more for every FANOUT times as many classes beyond FEW * FANOUT**2
 DEEPER = 6  # levels that nodes branch on at most
-AGAIN = 2  # further rounds of links to one member of a node
+ROUNDS = (4, 8, 12)  # members of a group that one outside it meets, round by round
 WORK = 4_000_000  # comparisons in a node that need no branching
-PLACES, SKETCHED = 128, 64  # tokens in a signature, and those of them in a sketch
+PLACES = 128  # tokens in a signature; a sketch has two bits of each
 CERTAIN = 5.2  # standard deviations by which a sketch may miss its expectation
 
 RNG = np.random.default_rng(448)
@@ -125,19 +125,22 @@ def _signs(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u2").reshape(len(column), PLACES)
 
 
+SKETCH = ["s0", "s1", "s2", "s3"]
+
+
 def _sketches(signs: np.ndarray) -> dict[str, np.ndarray]:
-    """Two bits of every token in the first places of the signature."""
-    bits = [((signs[:, :SKETCHED] >> i) & 1).astype(np.uint8) for i in (0, 1)]
-    low, high = (np.packbits(b, axis=1, bitorder="little").view(np.int64).ravel() for b in bits)
-    return {"low": low, "high": high}
+    """Two bits of every token of the signature."""
+    bits = [((signs >> i) & 1).astype(np.uint8) for i in (0, 1)]
+    packed = np.concatenate([np.packbits(b, axis=1, bitorder="little").view(np.int64) for b in bits], axis=1)
+    return {name: packed[:, i] for i, name in enumerate(SKETCH)}
 
 
-MEMBER = "node long, set long, n long, low long, high long"
-MEMBERS = ["node", "set", "n", "low", "high"]
+MEMBERS = ["node", "set", "n", *SKETCH]
+MEMBER = ", ".join(f"{c} long" for c in MEMBERS)
 
 
 def nodes(classes: DataFrame, trees: int, levels: int) -> DataFrame:
-    """(node, set, n, low, high): the node of every class in every tree after the first levels."""
+    """(node, set, n, *SKETCH): the node of every class in every tree after the first levels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -160,7 +163,7 @@ def children(members: DataFrame) -> DataFrame:
             signs, path = _signs(batch["sign"]), batch["node"].to_numpy().view(np.uint64)
             for salt in (1, 2):
                 to = _step(path, signs, salt)
-                yield batch[["set", "n", "low", "high"]].assign(node=to.view(np.int64))[MEMBERS]
+                yield batch[MEMBERS[1:]].assign(node=to.view(np.int64))[MEMBERS]
 
     return members.select(*MEMBERS, "sign").mapInPandas(run, MEMBER)
 
@@ -175,9 +178,9 @@ def alike(a: str, b: str, percent: int) -> Column:
     A place with unlike tokens has 0, 1 or 2 unlike bits: one on average, and 1.5 for the square.
     """
     p = 1 - percent / 100
-    most = math.floor(SKETCHED * p + CERTAIN * math.sqrt(SKETCHED * (1.5 * p - p * p)))
-    unlike = [F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in ("low", "high")]
-    return (unlike[0] + unlike[1] <= most) & _near_in_size(f"{a}.n", f"{b}.n", percent)
+    most = math.floor(PLACES * p + CERTAIN * math.sqrt(PLACES * (1.5 * p - p * p)))
+    unlike = [F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in SKETCH]
+    return (sum(unlike[1:], unlike[0]) <= most) & _near_in_size(f"{a}.n", f"{b}.n", percent)
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
@@ -232,7 +235,7 @@ def grouped(
     walked = nodes(classes, trees, levels)
     shared = walked.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
     meeting = materialize(walked.join(shared, "node"), "nodes")
-    member = F.struct("set", "n", "low", "high", "root")
+    member = F.struct("set", "n", *SKETCH, "root")
 
     def stars(members: DataFrame, order: Column) -> DataFrame:
         """Every member of a node with the node's first one, if they may be linked and are not in one group."""
@@ -265,10 +268,20 @@ def grouped(
         pairs = x.join(y, "node").filter(apart)
         return pairs.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
 
+    def partners(members: DataFrame, again: int, most: int) -> DataFrame:
+        """Every member outside its node's largest group with a member of that, in ``most`` of its nodes at most."""
+        at_home = members.filter("root = home")
+        chosen = at_home.groupBy("node").agg(F.min_by(member, F.xxhash64("set", "node", F.lit(again))).alias("x"))
+        outside = members.filter("root != home").select("node", "set", member.alias("y"))
+        turn = F.row_number().over(W.partitionBy("set").orderBy(F.xxhash64("node", F.lit(again)), "node"))
+        outside = outside.withColumn("_turn", turn).filter(F.col("_turn") <= most)
+        pairs = outside.join(chosen, "node").filter(alike("x", "y", percent))
+        return pairs.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b"))
+
     rest = open_nodes(meeting)
-    # members that their node's first one does not reach meet other ones, another in every node
-    for again in range(AGAIN):
-        tried = links(stars(rest, F.xxhash64("set", "node", F.lit(again))))
+    # members that their node's first one does not reach meet others of its largest group: a few at a time, as most are linked soon
+    for again, most in enumerate(ROUNDS):
+        tried = links(partners(rest, again, most))
         if tried.isEmpty():
             break
         found = found.unionByName(tried)
