@@ -18,7 +18,7 @@ import regex
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 # anything but plain Latin text; special token strings start with <|
 CAREFUL = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa1-įı-ɏ]|<\|")
-REMEMBERED = 400_000  # chunks and pieces kept per worker; later ones are forgotten after their batch
+REMEMBERED = 150_000  # chunks and pieces kept per worker; later ones are forgotten after their batch
 
 
 def tokenizer_path() -> str:
@@ -98,7 +98,7 @@ class Encoder:
         return out
 
 
-def _stretches(texts: list[str], chars: int = 4_000_000):
+def _stretches(texts: list[str], chars: int = 1_000_000):
     """Stretches of the list with about so many characters each."""
     start = size = 0
     for i, t in enumerate(texts):

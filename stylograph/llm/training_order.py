@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from pyspark.sql import Window as W
 
 from ..session import materialize, new_path
 from . import common as C
+from .arrow_texts import by_bytes
 from .tokens import Encoder, tokenizer_path
 from .words import A, B, mixed
 
@@ -38,7 +40,8 @@ END = 0
 PER_SHARD = 16_384
 KEY = 448
 ROUNDS = 6
-ROWS_AT_ONCE = 500
+BYTES_AT_ONCE = 1_000_000
+SHARDS_PER_TASK = 8  # of 8.8 MB each
 HEAD = "<qqII"
 NO_ID = -(2**63)
 
@@ -68,26 +71,28 @@ def sequences(docs: DataFrame, text: str, doc_id: str, path: str, length: int, e
     """(part, no, record): every sequence as its record, numbered within the task that made it."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         tail = np.asarray([end], "<u2").tobytes()
         part, no = TaskContext.get().partitionId(), 0
         for whole in batches:
-            # a few documents at a time: records take several times the room of their texts
-            for start in range(0, len(whole), ROWS_AT_ONCE):
-                batch = whole.iloc[start : start + ROWS_AT_ONCE]
+            # some documents at a time, by their bytes: texts and records are objects for as long only
+            for batch in by_bytes(whole, "text", BYTES_AT_ONCE):
+                ids = [NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()]
                 records = []
-                ids = batch["doc_id"].astype("Int64").fillna(NO_ID).astype("int64").tolist()
-                for doc, raw in zip(ids, encoder.encode(batch["text"].fillna("").tolist())):
+                for doc, raw in zip(ids, encoder.encode([x or "" for x in batch.column("text").to_pylist()])):
                     raw += tail
                     for at in range(0, len(raw), 2 * length):
                         piece = raw[at : at + 2 * length]
                         head = struct.pack(HEAD, doc, at // 2, len(piece) // 2, zlib.crc32(piece))
                         records.append(head + piece.ljust(2 * length, b"\0") + b"\n")
-                yield pd.DataFrame({"part": part, "no": np.arange(no, no + len(records)), "record": records})
+                numbers = pa.array(np.arange(no, no + len(records)))
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.repeat(pa.scalar(part, pa.int32()), len(records)), "no": numbers, "record": pa.array(records, pa.binary()),
+                })
                 no += len(records)
 
-    return rows.mapInPandas(run, "part int, no long, record binary")
+    return rows.mapInArrow(run, "part int, no long, record binary")
 
 
 def slots(numbered: DataFrame, n: int, key: int) -> Column:
@@ -118,7 +123,9 @@ def write_shards(
     numbered = table.join(F.broadcast(bases.drop("n")), "part").withColumn("number", F.col("base") + F.col("no"))
     placed = numbered.withColumn("slot", slots(numbered, n, key))
     placed = placed.withColumn("shard", F.expr(f"slot div {per_shard}").cast("int"))
-    ranges = placed.select("shard", "slot", "record").repartitionById(-(-n // per_shard), F.col("shard"))
+    # a task writes some shards, one after the other
+    tasks = -(-n // (per_shard * SHARDS_PER_TASK))
+    ranges = placed.select("shard", "slot", "record").repartitionById(tasks, F.expr(f"shard div {SHARDS_PER_TASK}").cast("int"))
     # a record ends with the writer's line feed
     body = F.expr(f"substring(record, 1, {stride(length) - 1})").cast("string").alias("value")
     ranges.sortWithinPartitions("shard", "slot").select(body, "shard").write.partitionBy("shard").text(folder)
