@@ -10,7 +10,7 @@ from ..functions import patterns as P
 from ..functions import text as X
 from ..functions.hashing import content_key, row_digest, seeded_digest
 from ..functions.stats import round_even
-from .skew import lookup_by_key, lowest_per_group
+from .skew import flag_held, lookup_by_key, lowest_per_group
 
 SEED = 448
 ROW_KEY = ["battle_id", "side"]
@@ -114,20 +114,22 @@ def describe_rows(rows: DataFrame) -> DataFrame:
 def dedup_exact(rows: DataFrame, same: list[str], order: list[str]) -> DataFrame:
     """The first row, by ``order``, of every set of rows equal in ``same``.
 
-    Only digests and order keys are aggregated, never texts.  Digests that occur once need no look; the
-    others are looked up by the rows that have them, a digest with very many copies by broadcast.  Among rows equal in
+    Only digests and order keys are aggregated, never texts.  Rows whose digest is not in the bitmap of repeated ones stay
+    where they are; the others look theirs up, a digest with very many copies by broadcast.  Among rows equal in
     ``order`` too, one stays.
     """
     keyed = rows.select("*", row_digest(*same).alias("_digest"), row_digest(*order).alias("_order"))
     first = F.struct(*[F.col(c) for c in order], "_order")
     copies = keyed.groupBy("_digest").agg(F.count("*").alias("_copies"), F.min(first)["_order"].alias("_least"))
-    told = lookup_by_key(keyed, copies.filter("_copies > 1"), "_digest", "_copies", "_order")
-    once = told.filter(F.col("_copies").isNull())
+    repeated = copies.filter("_copies > 1")
+    marked = flag_held(keyed, "_digest", repeated, "_met")
+    once = marked.filter("not _met").select(*rows.columns)
+    told = lookup_by_key(marked.filter("_met").drop("_met"), repeated, "_digest", "_copies", "_order")
     # of a set of copies only the least ones get here, so a set is one or a few rows
-    least = told.filter(F.col("_order") == F.col("_least"))
+    least = told.filter(F.col("_copies").isNull() | (F.col("_order") == F.col("_least")))
     place = F.row_number().over(Window.partitionBy("_digest").orderBy("_order"))
     chosen = least.withColumn("_place", place).filter("_place = 1").select(*rows.columns)
-    return once.select(*rows.columns).unionByName(chosen)
+    return once.unionByName(chosen)
 
 
 def class_counts(rows: DataFrame, label: str = "family") -> DataFrame:

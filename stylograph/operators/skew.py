@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from ..functions.hashing import digest_prefix
 
 HOT_KEYS = 1_000  # keys handled by broadcast; any other key holds less than 1/HOT_KEYS of the rows
 SALTS = 4_096
+SLOTS = 1 << 20  # of a bitmap, 64 bits each
 
 
 def by_row(df: DataFrame, row_id: str) -> DataFrame:
@@ -24,29 +27,44 @@ def by_row(df: DataFrame, row_id: str) -> DataFrame:
     return df.repartition(n, row_id)
 
 
+def flag_held(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: whether a row's ``key`` may be one of ``wanted``'s.  False is certain, true holds by chance now and then.
+
+    The broadcast bitmap has at most ``SLOTS`` rows of 16 bytes at any size of the tables, and no row moves.
+    """
+    slot = F.pmod(F.shiftright(F.xxhash64(key), 6), F.lit(SLOTS)).cast("long")
+    bit = F.pmod(F.xxhash64(key), F.lit(64)).cast("int")
+    held = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+    bitmap = wanted.groupBy(slot.alias("_slot")).agg(held.alias("_bits"))
+    near = rows.withColumn("_at", slot).join(F.broadcast(bitmap), F.col("_at") == F.col("_slot"), "left")
+    return near.withColumn(name, F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))).drop("_at", "_slot", "_bits")
+
+
 def lookup_by_key(
-    rows: DataFrame, totals: DataFrame, key: str, weight: str, row_id: Column | str, hot_keys: int = HOT_KEYS
+    rows: DataFrame, totals: DataFrame, key: str | list[str], weight: str, row_id: Column | str, hot_keys: int = HOT_KEYS
 ) -> DataFrame:
     """Left join of ``rows`` with a per-key table, one shuffle, no task with all rows of a hot key.
 
     The ``hot_keys`` heaviest keys (by ``weight``, a count of rows) are broadcast, a fixed bound; their rows get
-    spread by a salt instead of meeting in one task.  All other rows join by key as usual.
+    spread by a salt instead of meeting in one task.  All other rows join by key as usual.  A key may be several columns.
     """
-    values = [c for c in totals.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    values = [c for c in totals.columns if c not in keys]
     # said here for both uses of the totals, so that they share one exchange
-    totals = totals.filter(F.col(key).isNotNull())
-    hot = totals.orderBy(F.desc(weight), key).limit(hot_keys)
-    hot = hot.select(F.col(key), F.struct(*values).alias("_hot"))
-    tagged = rows.join(F.broadcast(hot), key, "left")
+    totals = totals.filter(whole)
+    hot = totals.orderBy(F.desc(weight), *keys).limit(hot_keys)
+    hot = hot.select(*keys, F.struct(*values).alias("_hot"))
+    tagged = rows.join(F.broadcast(hot), keys, "left")
     # -1 meets the per-key table; salted rows match nothing there and need nothing from it, nor do null keys
-    salt = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.lit(-1)).otherwise(
+    salt = F.when(F.col("_hot").isNull() & whole, F.lit(-1)).otherwise(
         F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
     )
     # weights are 1 or more, so this is -1; a literal would be folded out of the join keys, and all
     # rows of a hot key would meet in one task again
     unsalted = -F.least(F.lit(1), F.col(weight)).cast("int")
-    cold = totals.select(F.col(key), unsalted.alias("_salt"), F.struct(*values).alias("_cold"))
-    joined = tagged.withColumn("_salt", salt).join(cold, [key, "_salt"], "left")
+    cold = totals.select(*keys, unsalted.alias("_salt"), F.struct(*values).alias("_cold"))
+    joined = tagged.withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
     found = F.coalesce("_hot", "_cold")
     return joined.select(
         *[F.col(c) for c in rows.columns], *[found[c].alias(c) for c in values]

@@ -44,49 +44,93 @@ def _joined(n: int):
     return lambda z: F.concat_ws(" ", *[z[f"t{i}"] for i in range(n)])
 
 
-def _char_grams(text: Column, sizes: tuple[int, int]) -> Column:
-    """A look-ahead captures the n-gram at every position in one linear scan; cutting substrings by
+def _longest_at(text: Column, sizes: tuple[int, int]) -> Column:
+    """The longest n-gram at every position, captured by a look-ahead in one linear scan; cutting substrings by
     position would walk the text from its start each time.  The second half of a surrogate pair is
     not a position.
     """
-    grams = [
-        F.regexp_extract_all(text, F.lit(rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"), F.lit(1))
-        for n in range(sizes[0], sizes[1] + 1)
-    ]
+    pattern = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{sizes[0]},{sizes[1]}}}))"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+
+
+def _char_grams(longest: Column, sizes: tuple[int, int]) -> Column:
+    """All n-grams are beginnings of the longest ones.  Only the last few of those are shorter than the largest size, one
+    for each smaller size, so the first of the array are long enough.
+    """
+    least, most = sizes
+    grams = []
+    for n in range(least, most + 1):
+        some = F.slice(longest, F.lit(1), F.greatest(F.size(longest) - (n - least), F.lit(0)))
+        grams.append(some if n == most else F.transform(some, _beginning(n)))
     return F.concat(*grams)
 
 
+def _beginning(n: int):
+    return lambda gram: F.substring(gram, 1, n)
+
+
+def _staged(df: DataFrame, text: str, block: Block) -> DataFrame:
+    """Adds ``_base``, a column of its own as the n-grams read it many times over: the tokens, or the longest n-grams."""
+    t = F.col(text)
+    if block.name == "word":
+        return df.withColumn("_base", find_all(F.lower(t), P.TERM_TOKEN))
+    if block.name == "char":
+        return df.withColumn("_base", _longest_at(replace_all(t, r"\s\s+", " "), block.sizes))
+    raise ValueError(f"unknown block {block.name!r}")
+
+
 def with_terms(df: DataFrame, text: str, block: Block, name: str) -> DataFrame:
     """Adds the array of a row's n-grams, repeats and all.
 
     Words: lower-cased words and single marks, joined by a blank.  Characters: case kept, over text
-    whose runs of blanks are one space.  The tokens or the flattened text are a column of their own
-    first, as the n-grams read them many times over.
+    whose runs of blanks are one space.
     """
-    t = F.col(text)
-    if block.name == "word":
-        base, grams = find_all(F.lower(t), P.TERM_TOKEN), _word_grams
-    elif block.name == "char":
-        base, grams = replace_all(t, r"\s\s+", " "), _char_grams
-    else:
-        raise ValueError(f"unknown block {block.name!r}")
-    staged = df.withColumn("_base", base)
-    return staged.withColumn(name, grams(F.col("_base"), block.sizes)).drop("_base")
+    grams = _word_grams if block.name == "word" else _char_grams
+    return _staged(df, text, block).withColumn(name, grams(F.col("_base"), block.sizes)).drop("_base")
 
 
-def fit_terms(df: DataFrame, text: str, block: Block) -> DataFrame:
-    """(term, df, total, idf): terms in at least ``min_df`` rows, the ``max_terms`` most frequent of them.
+def _counts(df: DataFrame, text: str, block: Block) -> DataFrame:
+    """(term, df, total): rows that hold a term, and its uses.
 
-    A row sends each of its n-grams once for every use and once for its presence; both are counted
-    by term before the shuffle, so frequent n-grams are no burden.  Ties go by term order.
+    A row sends each of its different n-grams once for its presence, and one n-gram for every use: of characters only the
+    longest at each position, whose uses are handed on to its beginnings when they are few.
     """
-    uses = F.transform("_grams", lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
+    chars = block.name == "char"
+    staged = _staged(df.select(text), text, block)
+    if chars:
+        # different beginnings come from different longest n-grams, which keep their order
+        staged = staged.withColumn("_different", F.array_distinct("_base"))
+        staged = staged.withColumn("_grams", _char_grams(F.col("_different"), block.sizes))
+    else:
+        staged = staged.withColumn("_grams", _word_grams(F.col("_base"), block.sizes))
+    used = F.col("_base" if chars else "_grams")
+    uses = F.transform(used, lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
     rows = F.transform(F.array_distinct("_grams"), lambda g: F.struct(g.alias("term"), F.lit(1).alias("rows")))
-    grams = with_terms(df.select(text), text, block, "_grams")
-    sent = grams.select(F.explode(F.concat(uses, rows)).alias("g"))
+    sent = staged.select(F.explode(F.concat(uses, rows)).alias("g"))
     stats = sent.groupBy("g.term").agg(
         F.sum("g.rows").alias("df"), F.count_if(F.col("g.rows") == 0).alias("total")
     )
+    if not chars:
+        return stats
+    least = block.sizes[0]
+    shorter = F.when(
+        (F.col("total") > 0) & (F.length("term") > least), F.sequence(F.lit(least), F.length("term") - 1)
+    ).otherwise(F.array().cast("array<int>"))
+    term, total = F.col("term"), F.col("total")
+    begun = F.transform(
+        shorter, lambda n: F.struct(F.substring(term, F.lit(1), n).alias("term"), F.lit(0).cast("long").alias("df"), total.alias("total"))
+    )
+    own = F.array(F.struct("term", "df", "total"))
+    each = stats.select(F.explode(F.concat(own, begun)).alias("g"))
+    return each.groupBy("g.term").agg(F.sum("g.df").alias("df"), F.sum("g.total").alias("total"))
+
+
+def fit_terms(df: DataFrame, text: str, block: Block) -> DataFrame:
+    """(term, df, total, idf): terms in at least ``min_df`` rows, the ``max_terms`` most frequent of them.
+
+    Presence and uses are counted by term before the shuffle, so frequent n-grams are no burden.  Ties go by term order.
+    """
+    stats = _counts(df, text, block)
     top = (
         stats.filter(F.col("df") >= block.min_df)
         .orderBy(F.desc("total"), "term")

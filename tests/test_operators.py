@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -37,6 +38,41 @@ def test_lookup_of_hot_and_cold_keys(spark, rows):
     assert len(got) == 3000 and all((r.n, r.top) == want[r.prompt_id] for r in got)
 
 
+def test_lookup_by_two_keys(spark, rows):
+    keys = ["prompt_id", "family"]
+    some = rows.withColumn("family", F.when(F.col("row_id") % 7 > 0, F.col("family")))
+    totals = some.groupBy(*keys).agg(F.count("*").alias("n"), F.max("row_id").alias("top"))
+    got = skew.lookup_by_key(some, totals, keys, "n", "row_id", hot_keys=2).collect()
+    want = {(r.prompt_id, r.family): (r.n, r.top) for r in totals.collect()}
+    # keys with a null in them find nothing
+    assert len(got) == 3000
+    assert all((r.n, r.top) == (want[r.prompt_id, r.family] if r.family else (None, None)) for r in got)
+
+
+def test_bitmap_misses_no_key(spark, rows):
+    wanted = rows.filter("row_id % 10 = 0").select("prompt_id").distinct()
+    keys = {r.prompt_id for r in wanted.collect()}
+    got = skew.flag_held(rows, "prompt_id", wanted, "held").collect()
+    assert len(got) == 3000 and all(r.held for r in got if r.prompt_id in keys)
+    assert sum(r.held for r in got if r.prompt_id not in keys) < 10
+    assert not any(r.held for r in skew.flag_held(rows, "prompt_id", wanted.limit(0), "held").collect())
+
+
+def test_char_counts_from_longest_grams(spark):
+    texts = ["", "a", "ab", "abc", "abca", "abcab", "ab  ab\n\nab", "😀b😀bc", "aaaaaaaa", "x\ny", "abcabcabc" * 30, None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    uses, rows_ = Counter(), Counter()
+    for t in texts:
+        flat = re.sub(r"\s\s+", " ", t or "")
+        grams = [flat[i : i + n] for n in range(2, 6) for i in range(len(flat) - n + 1)]
+        uses.update(grams)
+        rows_.update(set(grams))
+    got = {r.term: (r.df, r.total) for r in tfidf._counts(df, "text", tfidf.CHARS).collect()}
+    assert got == {g: (rows_[g], uses[g]) for g in uses}
+    listed = tfidf.with_terms(df, "text", tfidf.CHARS, "grams").select(F.explode("grams").alias("g")).collect()
+    assert Counter(r.g for r in listed) == uses
+
+
 def test_salt_stays_in_the_join(spark, rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
