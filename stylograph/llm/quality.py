@@ -139,9 +139,15 @@ def judged(batch_texts: list[str | None], model: Model | None, keep: float) -> d
 def score(
     docs: DataFrame, model: Model | None, text: str = "text", keep: float = KEEP, passing: list[str] | None = None
 ) -> DataFrame:
-    """The passing columns of ``docs`` (all by default, but for names of results) with the counts and verdicts."""
+    """The passing columns of ``docs`` with the counts and verdicts.
+
+    All columns pass by default, except those named like a result, which the result replaces.
+    """
     taken = {name for name, _, _ in RESULTS}
     names = [c for c in (passing or docs.columns) if c.lower() not in taken]
+    read = "_text"
+    while read in {c.lower() for c in names}:
+        read = f"_{read}"
     schema = T.StructType([docs.schema[c] for c in names])
     for name, _, kind in RESULTS:
         schema = schema.add(name, kind)
@@ -150,13 +156,13 @@ def score(
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                found = judged(batch.column("_text").to_pylist(), model, keep)
+                found = judged(batch.column(read).to_pylist(), model, keep)
                 made = [pa.array(found[name], kind) for name, kind, _ in RESULTS]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n) for n in names] + made, names=names + [name for name, _, _ in RESULTS]
                 )
 
-    rows = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).alias("_text"))
+    rows = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).alias(read))
     return rows.mapInArrow(run, schema)
 
 

@@ -1,11 +1,13 @@
 """Line dedup, near duplicates, quality rules, secrets and personal data against brute force."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from stylograph.llm import lines, minhash, privacy, quality, secrets
@@ -460,6 +462,64 @@ def test_words_that_give_an_entity_away(spark):
     assert all("<EMAIL>" in clean[i] and "Zebulon" not in clean[i] for i in range(4)) and clean[10] == text[10]
 
 
+def test_short_long_and_numbered_words_disclose(spark):
+    long = "q" * 350
+    around = "north south east west".split()
+    data = [(i, f"in {w} Li of B7 writes {long} z@hill.org of things") for i, w in enumerate(around)]
+    data += [(10 + i, f"in {w} some of them writes about things") for i, w in enumerate("one two three four five six".split())]
+    found, spans = privacy.scan(spark.createDataFrame(data, "doc_id long, text string"))
+    words = spans.filter(F.col("kind") >= 4).join(found.select("_row", "doc_id"), "_row").collect()
+    text = dict(data)
+    assert {text[r.doc_id][r.start : r.end] for r in words} == {long}  # the others are too far from the address
+    near = [(i, t.replace(long, "")) for i, t in data]
+    found, spans = privacy.scan(spark.createDataFrame(near, "doc_id long, text string"))
+    words = spans.filter(F.col("kind") >= 4).join(found.select("_row", "doc_id"), "_row").collect()
+    assert Counter(dict(near)[r.doc_id][r.start : r.end] for r in words) == {"Li": 4, "B7": 4}
+
+
+def test_disclosure_by_hand(spark, docs):
+    """All spans of the table that disclose, against a plain count over the same texts."""
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").dropDuplicates(["doc_id"]).collect()}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    word = regex.compile(privacy.TERM)
+    held = Counter(w for t in texts.values() for w in {m.group().lower() for m in word.finditer(t)})
+    found, spans = privacy.scan(df)
+    every = [(r.doc_id, r.kind, r.start, r.end) for r in spans.join(found.select("_row", "doc_id"), "_row").collect()]
+    direct, of = {}, {}
+    for d, kind, a, b in (s for s in every if s[1] < 4):
+        part = texts[d][a:b]
+        e = (kind, part.lower() if kind == 0 else part if kind == 1 else re.sub("[^0-9]", "", part))
+        direct.setdefault(d, []).append((a, b, e))
+        of.setdefault(e, set()).add(d)
+    beside, places = {}, []
+    for d, there in direct.items():
+        for m in word.finditer(texts[d]):
+            gaps = [(max(m.start(), a) - min(m.end(), b), e) for a, b, e in there]
+            if min(g for g, _ in gaps) < 0:
+                continue
+            for e in {e for g, e in gaps if g <= privacy.NEAR}:
+                beside.setdefault((e, m.group().lower()), set()).add(d)
+                places.append((d, m.start(), m.end(), e, m.group().lower()))
+    want = {}
+    for d, a, b, e, w in places:
+        near, needed = beside[e, w], -math.log2(len(of[e]) / len(texts))
+        if len({texts[x] for x in near}) < privacy.WITNESSES or needed <= 0:
+            continue
+        share = (math.log2(len(near) / held[w]) + needed) / needed
+        if share >= privacy.GENERALISE:
+            want[d, a, b] = max(share, want.get((d, a, b), 0))
+    got = {(d, a, b): kind for d, kind, a, b in every if kind >= 4}
+    assert got == {k: 4 if s >= privacy.REMOVE else 5 for k, s in want.items()}
+
+
+def test_scores_beside_clashing_columns(spark):
+    data = [(1, "some words stand here " * 10, "other", 3.0), (2, None, None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, _text string, p_good double")
+    out = quality.score(df, None)
+    assert out.columns[:3] == ["doc_id", "text", "_text"] and out.columns.count("p_good") == 1
+    assert {(r.doc_id, r["_text"], r.n_words) for r in out.collect()} == {(1, "other", 40), (2, None, 0)}
+
+
 def test_spans_on_edges(edge, empty):
     out = privacy.sanitised(edge)
     assert out.columns == edge.columns and Counter(map(tuple, out.collect())) == Counter(map(tuple, edge.collect()))
