@@ -1,13 +1,18 @@
 """TF-IDF weights of word and character n-grams, as sparse vectors or as one long table.
 
 Fitting is one aggregate by term.  Weighing is narrow: each row's n-grams are counted against the
-fitted list where the row is, so texts and n-grams never cross the network.
+fitted list where the row is, so texts and n-grams never cross the network.  Character n-grams are counted in Arrow batches
+(``grams``), so that a stretch of texts sends a row for each of its different ones, not one for every use.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -17,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions import patterns as P
 from ..functions.text import find_all, replace_all
 from ..session import materialize
+from . import grams as G
 
 
 @dataclass(frozen=True)
@@ -69,13 +75,17 @@ def _beginning(n: int):
     return lambda gram: F.substring(gram, 1, n)
 
 
+def _spaced(text: Column) -> Column:
+    return replace_all(text, r"\s\s+", " ")
+
+
 def _staged(df: DataFrame, text: str, block: Block) -> DataFrame:
     """Adds ``_base``, a column of its own as the n-grams read it many times over: the tokens, or the longest n-grams."""
     t = F.col(text)
     if block.name == "word":
         return df.withColumn("_base", find_all(F.lower(t), P.TERM_TOKEN))
     if block.name == "char":
-        return df.withColumn("_base", _longest_at(replace_all(t, r"\s\s+", " "), block.sizes))
+        return df.withColumn("_base", _longest_at(_spaced(t), block.sizes))
     raise ValueError(f"unknown block {block.name!r}")
 
 
@@ -90,39 +100,27 @@ def with_terms(df: DataFrame, text: str, block: Block, name: str) -> DataFrame:
 
 
 def _counts(df: DataFrame, text: str, block: Block) -> DataFrame:
-    """(term, df, total): rows that hold a term, and its uses.
-
-    A row sends each of its different n-grams once for its presence, and one n-gram for every use: of characters only the
-    longest at each position, whose uses are handed on to its beginnings when they are few.
-    """
-    chars = block.name == "char"
-    staged = _staged(df.select(text), text, block)
-    if chars:
-        # different beginnings come from different longest n-grams, which keep their order
-        staged = staged.withColumn("_different", F.array_distinct("_base"))
-        staged = staged.withColumn("_grams", _char_grams(F.col("_different"), block.sizes))
-    else:
-        staged = staged.withColumn("_grams", _word_grams(F.col("_base"), block.sizes))
-    used = F.col("_base" if chars else "_grams")
-    uses = F.transform(used, lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
+    """(term, df, total): rows that hold a term, and its uses."""
+    if block.name == "char":
+        return _char_counts(df, text, block)
+    staged = with_terms(df.select(text), text, block, "_grams")
+    uses = F.transform("_grams", lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
     rows = F.transform(F.array_distinct("_grams"), lambda g: F.struct(g.alias("term"), F.lit(1).alias("rows")))
     sent = staged.select(F.explode(F.concat(uses, rows)).alias("g"))
-    stats = sent.groupBy("g.term").agg(
-        F.sum("g.rows").alias("df"), F.count_if(F.col("g.rows") == 0).alias("total")
-    )
-    if not chars:
-        return stats
-    least = block.sizes[0]
-    shorter = F.when(
-        (F.col("total") > 0) & (F.length("term") > least), F.sequence(F.lit(least), F.length("term") - 1)
-    ).otherwise(F.array().cast("array<int>"))
-    term, total = F.col("term"), F.col("total")
-    begun = F.transform(
-        shorter, lambda n: F.struct(F.substring(term, F.lit(1), n).alias("term"), F.lit(0).cast("long").alias("df"), total.alias("total"))
-    )
-    own = F.array(F.struct("term", "df", "total"))
-    each = stats.select(F.explode(F.concat(own, begun)).alias("g"))
-    return each.groupBy("g.term").agg(F.sum("g.df").alias("df"), F.sum("g.total").alias("total"))
+    return sent.groupBy("g.term").agg(F.sum("g.rows").alias("df"), F.count_if(F.col("g.rows") == 0).alias("total"))
+
+
+def _char_counts(df: DataFrame, text: str, block: Block) -> DataFrame:
+    sizes = block.sizes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in G.stretches(batch.column("_text")):
+                for terms, held, uses in G.count(texts, sizes):
+                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(held), pa.array(uses)], names=["term", "df", "total"])
+
+    each = df.select(_spaced(F.col(text)).alias("_text")).mapInArrow(run, "term string, df long, total long")
+    return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
 def fit_terms(df: DataFrame, text: str, block: Block) -> DataFrame:
@@ -177,10 +175,35 @@ def fit_blocks(df: DataFrame, text: str, blocks: tuple[Block, ...] = (WORDS, CHA
 
 
 def _weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
-    """Adds ``_at`` and ``_weights``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1.
-
-    The counter gives tf and the product tf * idf at the same places, from which the weights follow.
-    """
+    """Adds ``_at`` and ``_weights``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1."""
+    return _char_weighed(df, text, f) if f.block.name == "char" else _word_weighed(df, text, f)
+
+
+def _char_weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
+    kept = df.sparkSession.sparkContext.broadcast((G.Finder(f.terms), np.asarray(f.idf, np.float64)))
+    offset = f.offset
+
+    @F.pandas_udf("struct<at: array<int>, weights: array<double>>")
+    def weigh(column: pd.Series) -> pd.DataFrame:
+        finder, idf = kept.value
+        places, weights = [], []
+        for texts in G.stretches(pa.array(column, pa.string(), from_pandas=True)):
+            of, term, uses = finder.counts(texts)
+            w = (1.0 + np.log(uses)) * idf[term]
+            norm = np.sqrt(np.bincount(of, weights=w * w, minlength=len(texts)))
+            w /= np.where(norm > 0, norm, 1.0)[of]
+            cuts = np.cumsum(np.bincount(of, minlength=len(texts)))[:-1]
+            places += np.split((term + offset).astype(np.int32), cuts)
+            weights += np.split(w, cuts)
+        return pd.DataFrame({"at": pd.Series(places, dtype=object), "weights": pd.Series(weights, dtype=object)})
+
+    # worked out once, though read twice
+    out = df.withColumn("_found", weigh.asNondeterministic()(_spaced(F.col(text))))
+    return out.withColumns({"_at": F.col("_found.at"), "_weights": F.col("_found.weights")}).drop("_found")
+
+
+def _word_weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
+    """The counter gives tf and the product tf * idf at the same places, from which the weights follow."""
     out = with_terms(df, text, f.block, "_terms")
     out = _counter(df.sparkSession, f, "_terms").transform(out)
     idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_scaled")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stylograph.functions import patterns as P
 from stylograph.functions.hashing import seeded_digest
-from stylograph.operators import clean, compare, curate, evaluate, runs, skew, tfidf, tokens
+from stylograph.operators import clean, compare, curate, evaluate, grams, runs, skew, tfidf, tokens
 from stylograph.operators.quantiles import quantiles_of_counts, quantiles_of_wide
 from stylograph.sources import tables
 
@@ -250,3 +250,27 @@ def test_narrow_operators_run_on_streams(spark, tmp_path):
     q.stop()
     got = spark.table("cleaned").first()
     assert (got.output, got.input, got.refusal, got.self_id) == ("I'm sorry, but [MODEL] says no.", "ask [MODEL]", True, True)
+
+
+@pytest.mark.parametrize("most, cells", [(1 << 62, 1 << 22), (1, 0)])
+def test_char_grams_are_counted_and_found_in_arrays(monkeypatch, most, cells):
+    """Also where keys are numbered anew at every size, and where beginnings are searched."""
+    monkeypatch.setattr(grams, "MOST", most)
+    monkeypatch.setattr(grams, "CELLS", cells)
+    texts = ["aXa🚀a🚀a", "", "é", "aXa\0b\0", "漢字 漢字 " * 40, *["a" * i for i in range(9)]]
+    held = [Counter(t[i : i + n] for n in range(2, 6) for i in range(len(t) - n + 1)) for t in texts]
+    rows, uses = Counter(g for c in held for g in c), sum(held, Counter())
+    got = {g: (a, b) for some in grams.count(texts, (2, 5)) for g, a, b in zip(some[0], some[1].tolist(), some[2].tolist())}
+    assert got == {g: (rows[g], uses[g]) for g in uses}
+    terms = sorted(uses)[::3]
+    found = zip(*(x.tolist() for x in grams.Finder(terms).counts(texts)))
+    assert list(found) == [(i, k, c[t]) for i, c in enumerate(held) for k, t in enumerate(terms) if c[t]]
+
+
+def test_char_counts_send_a_stretch_once(spark):
+    """Copies of a text in a stretch are one row a gram before the shuffle; they were a row a use."""
+    df = spark.range(2000, numPartitions=1).select(F.lit("no end of words").alias("text"))
+    counted = tfidf._counts(df, "text", tfidf.CHARS)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert {(r.df, r.total) for r in counted.filter("length(term) = 5").collect()} == {(2000, 2000)}
