@@ -2,8 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -265,6 +266,47 @@ def test_line_groups_equal_all_pairs(spark, rows):
     assert links and wrong <= 0.02 * len(links) + 1
 
 
+def test_crowded_keys_lose_no_link(spark, monkeypatch):
+    """Lines under a key of many meet as if all were compared; one more minimum in common was asked for, which links need not have."""
+    rng = random.Random(3)
+    common = ["whenever", "somebody", "questions", "anything"]
+    data = []
+    for i in range(150):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([4, 6, 9]))]
+        line = common + own
+        data += [line, line[:-1] + [f"x{i}"], common + own[1:] + [f"y{i}"]]
+        data.append(line[:-2] + ["".join(line[-2:])] if i % 2 else [c * 12 for c in "abcd"] + ["z" * (i % 30 + 8)])
+    df = spark.createDataFrame(list(enumerate(map(" ".join, data))), "doc_id long, text string")
+
+    def gone(most):
+        monkeypatch.setattr(lines, "HEAVY", most)
+        return {r["_row"].doc_id for r in lines.dedup_lines(df).collect() if r.removed}
+
+    assert gone(1) == gone(10**9)
+
+
+def test_linked_lines_share_a_probe(spark):
+    """Whatever the order of words: changed words, letters, lost blanks, lines with few words."""
+    rng = random.Random(5)
+    base, other = [], []
+    for i in range(300):
+        words = ["".join(rng.choices("abcde", k=rng.choice([2, 5, 14]))) for _ in range(rng.choice([4, 5, 6, 12, 40]))]
+        x = " ".join(words)
+        at = rng.randrange(1, len(x) - 1)
+        changed = [x[:at] + "q" + x[at:], x[:at] + x[at + 1 :], x.replace(" ", "", 1), " ".join([*words[:-1], "q"])][i % 4]
+        base.append(x)
+        other.append(changed)
+    pairs = [(i, x, y) for i, (x, y) in enumerate(zip(base, other)) if x.split() and y == " ".join(y.split())]
+    df = spark.createDataFrame(pairs, "i long, x string, y string")
+    percent = F.when(lines._in_common(F.col("x"), F.col("y")), 20).otherwise(2)
+    linked = {r.i for r in df.filter(F.levenshtein("x", "y") * 100 <= percent * F.greatest(F.length("x"), F.length("y"))).collect()}
+    both = df.select(F.explode(F.array(F.struct((F.col("i") * 2).alias("line"), F.col("x").alias("norm")), F.struct((F.col("i") * 2 + 1).alias("line"), F.col("y").alias("norm")))).alias("e")).select("e.*")
+    held = defaultdict(set)
+    for r in lines.probes(both, lines.CLOSE).collect():
+        held[r.line].add(r.probe)
+    assert len(linked) > 100 and all(held[2 * i] & held[2 * i + 1] for i in linked)
+
+
 def test_short_and_unspaced_lines(spark):
     sentence = "\u6211\u4eec\u5728\u8fd9\u91cc\u5199\u4e00\u4e2a\u6ca1\u6709\u7a7a\u683c\u7684\u53e5\u5b50\u7528\u6765\u6d4b\u8bd5\u53bb\u91cd\u6548\u679c"
     data = [(i, f"Introduction\n{sentence}\nTable of contents") for i in range(5)]
