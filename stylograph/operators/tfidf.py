@@ -175,51 +175,53 @@ def fit_blocks(df: DataFrame, text: str, blocks: tuple[Block, ...] = (WORDS, CHA
 
 
 def _weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
-    """Adds ``_at`` and ``_weights``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1."""
-    return _char_weighed(df, text, f) if f.block.name == "char" else _word_weighed(df, text, f)
+    """Adds ``_at`` and ``_weights``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1.
 
+    Both counters give tf and the product tf * idf at the same places, from which the weights follow.
+    """
+    counted = _char_counter if f.block.name == "char" else _word_counter
+    out = counted(df, text, f)
+    weights = F.zip_with(
+        F.col("_c")["values"], F.col("_s")["values"],
+        lambda tf, x: F.when(tf > 0, (F.lit(1.0) + F.log(tf)) * x / tf).otherwise(F.lit(0.0)),
+    )
+    # a row that uses most of a short list comes back as a dense vector, which has no indices
+    dense = F.sequence(F.lit(0), F.size(F.col("_c")["values"]) - 1)
+    places = F.transform(F.coalesce(F.col("_c")["indices"], dense), lambda i: i + f.offset)
+    out = out.withColumns({"_at": places, "_weights": weights})
+    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda a, w: a + w * w))
+    out = out.withColumn("_norm", norm)
+    scaled = F.transform("_weights", lambda w: F.when(F.col("_norm") > 0, w / F.col("_norm")).otherwise(w))
+    return out.withColumn("_weights", scaled).drop("_c", "_s", "_norm")
 
-def _char_weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
+
+def _char_counter(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
     kept = df.sparkSession.sparkContext.broadcast((G.Finder(f.terms), np.asarray(f.idf, np.float64)))
-    offset = f.offset
 
-    @F.pandas_udf("struct<at: array<int>, weights: array<double>>")
-    def weigh(column: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("struct<indices: array<int>, counts: array<double>, scaled: array<double>>")
+    def found(column: pd.Series) -> pd.DataFrame:
         finder, idf = kept.value
-        places, weights = [], []
+        parts = {"indices": [], "counts": [], "scaled": []}
         for texts in G.stretches(pa.array(column, pa.string(), from_pandas=True)):
             of, term, uses = finder.counts(texts)
-            w = (1.0 + np.log(uses)) * idf[term]
-            norm = np.sqrt(np.bincount(of, weights=w * w, minlength=len(texts)))
-            w /= np.where(norm > 0, norm, 1.0)[of]
             cuts = np.cumsum(np.bincount(of, minlength=len(texts)))[:-1]
-            places += np.split((term + offset).astype(np.int32), cuts)
-            weights += np.split(w, cuts)
-        return pd.DataFrame({"at": pd.Series(places, dtype=object), "weights": pd.Series(weights, dtype=object)})
+            tf = uses.astype(np.float64)
+            for name, values in zip(parts, (term.astype(np.int32), tf, tf * idf[term])):
+                parts[name] += np.split(values, cuts)
+        return pd.DataFrame({name: pd.Series(lists, dtype=object) for name, lists in parts.items()})
 
-    # worked out once, though read twice
-    out = df.withColumn("_found", weigh.asNondeterministic()(_spaced(F.col(text))))
-    return out.withColumns({"_at": F.col("_found.at"), "_weights": F.col("_found.weights")}).drop("_found")
+    # worked out once, though read more often
+    out = df.withColumn("_found", found.asNondeterministic()(_spaced(F.col(text))))
+    c = F.struct(F.col("_found.indices").alias("indices"), F.col("_found.counts").alias("values"))
+    return out.withColumns({"_c": c, "_s": F.struct(F.col("_found.scaled").alias("values"))}).drop("_found")
 
 
-def _word_weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
-    """The counter gives tf and the product tf * idf at the same places, from which the weights follow."""
+def _word_counter(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
     out = with_terms(df, text, f.block, "_terms")
     out = _counter(df.sparkSession, f, "_terms").transform(out)
     idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_scaled")
     out = idf.transform(out).withColumns({"_c": F.unwrap_udt("_counts"), "_s": F.unwrap_udt("_scaled")})
-    weights = F.zip_with(
-        F.col("_c")["values"], F.col("_s")["values"],
-        lambda tf, x: F.when(tf > 0, (F.lit(1.0) + F.log(tf)) * x / tf).otherwise(F.lit(0.0)),
-    )
-    # a row that uses most of a short list comes back as a dense vector, which has no indices
-    dense = F.sequence(F.lit(0), F.size(F.col("_c")["values"]) - 1)
-    places = F.transform(F.coalesce(F.col("_c")["indices"], dense), lambda i: i + f.offset)
-    out = out.withColumns({"_at": places, "_weights": weights})
-    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda a, w: a + w * w))
-    out = out.withColumn("_norm", norm)
-    scaled = F.transform("_weights", lambda w: F.when(F.col("_norm") > 0, w / F.col("_norm")).otherwise(w))
-    return out.withColumn("_weights", scaled).drop("_terms", "_counts", "_scaled", "_c", "_s", "_norm")
+    return out.drop("_terms", "_counts", "_scaled")
 
 
 def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[str]) -> DataFrame:
