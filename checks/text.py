@@ -113,7 +113,8 @@ def _sql_fields(mode: str) -> str:
     FROM t LEFT JOIN flat USING (row_id, mode) LEFT JOIN words USING (token) GROUP BY t.row_id, t.mode""",
 )
 def encode_fields(spark, sf):
-    rows = V.answers(spark, sf)
+    # read by the vocabulary and by every field
+    rows = materialize(V.answers(spark, sf).select("row_id", "input", "output"), "answers")
     fields = rows.select(X.field_view("both").alias("txt"))
     vocab = tokens.fixed_vocab(tokens.build_vocab(fields, "txt", "word", 30_000, 3))
     parts = [

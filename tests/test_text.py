@@ -185,3 +185,15 @@ def test_wall_clock_micros_ignore_the_zone(spark):
     micros = X.wall_micros("t")
     assert df.select(micros).first()[0] == 1740834005250000
     assert str(df.select(X.from_wall_micros(micros)).first()[0]) == "2025-03-01 13:00:05.250000"
+
+
+def test_encoding_reads_its_texts_once(spark, tmp_path):
+    """Every field and the vocabulary read one written table; each of them read and joined the documents before."""
+    from checks import text as checks_text
+
+    rows = [(i, f"some words of document {i}, again and again " * 4, f"src{i % 5}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(40).selectExpr("id AS event_id", "timestamp_ntz'2025-01-01 00:00:00' AS ts").write.parquet(f"{tmp_path}/events.parquet")
+    out = checks_text.encode_fields(spark, str(tmp_path))
+    assert not [f for f in out.inputFiles() if "documents.parquet" in f]
+    assert out.count() == 120 and not out.filter("ids = '1'").count()
