@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -222,10 +222,14 @@ def fit(
 
     kind = labelled.schema["doc_id"].dataType.simpleString()
     found = labelled.mapInArrow(run, f"doc_id {kind}, good int, cells array<int>, shares array<double>")
-    vector = F.udf(lambda c, s: Vectors.sparse(CELLS * BLOCKS, c, s), VectorUDT())
-    found = materialize(found.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0), "quality-features")
-    training = found.select(F.col("good").cast("double").alias("label"), vector("cells", "shares").alias("features"), "held")
-    training = training.repartition(4)
+    # a vector is stored as a struct, so it is written by SQL and read back as a vector
+    vector = F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(CELLS * BLOCKS).alias("size"), F.col("cells").alias("indices"), F.col("shares").alias("values")
+    )
+    held = (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0).alias("held")
+    rows = found.select(F.col("good").cast("double").alias("label"), vector.alias("features"), held)
+    schema = T.StructType().add("label", T.DoubleType()).add("features", VectorUDT()).add("held", T.BooleanType())
+    training = materialize(rows.repartition(4), "quality-features", schema)
     fitting = training.filter("not held")
     if fitting.select("label").distinct().count() < 2:
         return None

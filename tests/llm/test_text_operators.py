@@ -379,6 +379,20 @@ def test_classifier_on_held_out_rows(spark, labelled, empty):
     assert quality.fit(empty, labels) is None
 
 
+def test_vectors_of_the_fit_are_written_without_python(labelled, monkeypatch):
+    """The steps read a written table; a Python function beside them took memory for its workers in every one."""
+    plans, own = [], quality.materialize
+
+    def written(df, name, schema=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(df, name, schema)
+
+    monkeypatch.setattr(quality, "materialize", written)
+    assert quality.fit(labelled.drop("quality"), labelled.select("doc_id", "quality"))
+    assert len(plans) == 1 and "MapInArrow" in plans[0] and "BatchEvalPython" not in plans[0]
+    assert not hasattr(quality, "Vectors")
+
+
 def test_calibration_follows_frequencies():
     rng = np.random.default_rng(1)
     margin = rng.normal(0, 3, 20_000)
