@@ -16,8 +16,7 @@ import numpy as np
 import regex
 
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-# anything but plain Latin text; special token strings start with <|
-CAREFUL = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa1-įı-ɏ]|<\|")
+PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-įı-ɏ]*")  # Latin text; one run is matched at once
 REMEMBERED = 150_000  # chunks and pieces kept per worker; later ones are forgotten after their batch
 
 
@@ -27,6 +26,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def careful(text: str) -> bool:
+    """Holds anything but plain Latin text; special token strings start with <|."""
+    return PLAIN.fullmatch(text) is None or "<|" in text
+
+
+def cut_chunk(chunk: str) -> tuple[str, ...] | list[str]:
+    """The pieces of a chunk without white space.  Words, and words with one sign after them, need no pattern."""
+    if chunk.isalpha():
+        return (chunk,)
+    if chunk[:-1].isalpha():
+        return chunk[:-1], chunk[-1]
+    return PIECE.findall(chunk)
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 16-bit ids; one per Python worker."""
 
@@ -56,7 +69,7 @@ class Encoder:
 
     def pieces_of(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of chunks without white space, by way of their pieces."""
-        cut = {c: (c,) if c.isalpha() else PIECE.findall(c) for c in chunks}
+        cut = {c: cut_chunk(c) for c in chunks}
         new = list({p for pieces in cut.values() for p in pieces}.difference(self.pieces))
         fresh: dict[str, bytes] = {}
         for start in range(0, len(new), 20_000):
@@ -80,21 +93,17 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for start, stop in _stretches(texts):
-            cut = [None if CAREFUL.search(t) else t.lower().split() for t in texts[start:stop]]
+            cut = [None if careful(t) else t.lower().split() for t in texts[start:stop]]
             missing = set().union(*(c for c in cut if c)).difference(self.chunks)
             fresh = self.pieces_of(list(missing)) if missing else {}
-            if len(self.chunks) < REMEMBERED:
-                self.chunks.update(fresh)
-                fresh = {}
+            room = len(self.chunks) < REMEMBERED
+            self.chunks.update(fresh)
             get = self.chunks.__getitem__
-            known = self.chunks.get
             for text, chunks in zip(texts[start:stop], cut):
-                if chunks is None:
-                    out.append(self.direct(text))
-                elif fresh:
-                    out.append(b"".join([known(c) or fresh.get(c, b"") for c in chunks]))
-                else:
-                    out.append(b"".join(map(get, chunks)))
+                out.append(self.direct(text) if chunks is None else b"".join(map(get, chunks)))
+            if not room:
+                for c in fresh:
+                    del self.chunks[c]
         return out
 
 

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stylograph.llm import bitslice, mixing, packing, sharding, training_order
+from stylograph.llm import bitslice, mixing, packing, sharding, tokens, training_order
 from stylograph.llm.tokens import Encoder, tokenizer_path
 
 
@@ -143,6 +143,24 @@ def test_remembered_ids_equal_the_tokenizer(texts):
     assert e.encode(texts) == [e.direct(t) for t in texts]
 
 
+def test_common_chunks_need_no_pattern(monkeypatch):
+    plain = [chr(c) for c in range(0x21, 0x250) if not tokens.careful(chr(c))]
+    chunks = [w + c for w in ("word", "é", "it's", "") for c in plain] + ["we'll", "12½", "a!!b", "don't,"]
+    chunks = [c for x in chunks for c in x.lower().split()]
+    assert [list(tokens.cut_chunk(c)) for c in chunks] == [tokens.PIECE.findall(c) for c in chunks]
+    monkeypatch.setattr(tokens, "PIECE", None)
+    # a tokenizer of its own: nothing is remembered
+    assert Encoder(tokenizer_path()).encode(["one, two. three"])[0] + b"\0\0" == encoded("one, two. three")
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    e = Encoder(tokenizer_path())
+    for texts in (["a b c d"], ["e, f g a", "h e,"], ["h e, \x01", "d"]):
+        assert e.encode(texts) == [e.direct(t) for t in texts]
+    assert set(e.chunks) == {"a", "b", "c", "d"}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1_000, 4_097])
 def test_permutation(n):
     slots = training_order.permuted(np.arange(n), n, 9)
