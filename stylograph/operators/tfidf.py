@@ -1,8 +1,9 @@
-"""TF-IDF weights of word and character n-grams, as sparse vectors or as one long table.
+"""TF-IDF weights of word and character n-grams, as sparse vectors, as packed blocks or as one long table.
 
 Fitting is one aggregate by term.  Weighing is narrow: each row's n-grams are counted against the
-fitted list where the row is, so texts and n-grams never cross the network.  Character n-grams are counted in Arrow batches
-(``grams``), so that a stretch of texts sends a row for each of its different ones, not one for every use.
+fitted list where the row is, so texts and n-grams never cross the network.  N-grams are counted and found in Arrow batches
+(``grams``): a stretch of texts sends a row for each of its different ones, not one for every use, and what is found goes on
+stretch by stretch, so that a task holds the arrays of one stretch at a time, however long the rows are.
 """
 
 from __future__ import annotations
@@ -11,10 +12,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
-from pyspark.ml.linalg import Vectors, VectorUDT
+import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,10 @@ from ..functions import patterns as P
 from ..functions.text import find_all, replace_all
 from ..session import materialize
 from . import grams as G
+from . import packed
+
+FOUND = 500_000  # bytes of text whose terms are found at a time
+PER_TOKEN = 4  # bytes that a token counts as
 
 
 @dataclass(frozen=True)
@@ -79,13 +83,12 @@ def _spaced(text: Column) -> Column:
     return replace_all(text, r"\s\s+", " ")
 
 
-def _staged(df: DataFrame, text: str, block: Block) -> DataFrame:
-    """Adds ``_base``, a column of its own as the n-grams read it many times over: the tokens, or the longest n-grams."""
-    t = F.col(text)
+def _base(text: Column, block: Block) -> Column:
+    """What the n-grams of a block are made of: a row's tokens, or its text with single blanks."""
     if block.name == "word":
-        return df.withColumn("_base", find_all(F.lower(t), P.TERM_TOKEN))
+        return find_all(F.lower(text), P.TERM_TOKEN)
     if block.name == "char":
-        return df.withColumn("_base", _longest_at(_spaced(t), block.sizes))
+        return _spaced(text)
     raise ValueError(f"unknown block {block.name!r}")
 
 
@@ -95,31 +98,31 @@ def with_terms(df: DataFrame, text: str, block: Block, name: str) -> DataFrame:
     Words: lower-cased words and single marks, joined by a blank.  Characters: case kept, over text
     whose runs of blanks are one space.
     """
+    # a column of its own, as the n-grams read it many times over
+    base = _base(F.col(text), block)
+    staged = df.withColumn("_base", base if block.name == "word" else _longest_at(base, block.sizes))
     grams = _word_grams if block.name == "word" else _char_grams
-    return _staged(df, text, block).withColumn(name, grams(F.col("_base"), block.sizes)).drop("_base")
+    return staged.withColumn(name, grams(F.col("_base"), block.sizes)).drop("_base")
 
 
 def _counts(df: DataFrame, text: str, block: Block) -> DataFrame:
     """(term, df, total): rows that hold a term, and its uses."""
-    if block.name == "char":
-        return _char_counts(df, text, block)
-    staged = with_terms(df.select(text), text, block, "_grams")
-    uses = F.transform("_grams", lambda g: F.struct(g.alias("term"), F.lit(0).alias("rows")))
-    rows = F.transform(F.array_distinct("_grams"), lambda g: F.struct(g.alias("term"), F.lit(1).alias("rows")))
-    sent = staged.select(F.explode(F.concat(uses, rows)).alias("g"))
-    return sent.groupBy("g.term").agg(F.sum("g.rows").alias("df"), F.count_if(F.col("g.rows") == 0).alias("total"))
-
+    sizes, words = block.sizes, block.name == "word"
 
-def _char_counts(df: DataFrame, text: str, block: Block) -> DataFrame:
-    sizes = block.sizes
+    def stretches(base: pa.Array) -> Iterator:
+        if not words:
+            return (G.count(texts, sizes) for texts in G.stretches(base))
+        lengths = pc.list_value_length(base)
+        return (G.count_words(base.slice(start, stop - start), sizes) for start, stop in G.ranges(lengths, G.TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in G.stretches(batch.column("_text")):
-                for terms, held, uses in G.count(texts, sizes):
-                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(held), pa.array(uses)], names=["term", "df", "total"])
+            for counted in stretches(batch.column("_base")):
+                for terms, held, uses in counted:
+                    terms = terms if words else pa.array(terms, pa.string())
+                    yield pa.RecordBatch.from_arrays([terms, pa.array(held), pa.array(uses)], names=["term", "df", "total"])
 
-    each = df.select(_spaced(F.col(text)).alias("_text")).mapInArrow(run, "term string, df long, total long")
+    each = df.select(_base(F.col(text), block).alias("_base")).mapInArrow(run, "term string, df long, total long")
     return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
@@ -174,54 +177,56 @@ def fit_blocks(df: DataFrame, text: str, blocks: tuple[Block, ...] = (WORDS, CHA
     return out
 
 
-def _weighed(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
-    """Adds ``_at`` and ``_weights``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1.
+def _finder(f: FittedBlock) -> G.Finder:
+    return G.WordFinder(f.terms) if f.block.name == "word" else G.Finder(f.terms)
+
+
+def _bases(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[str | Column]) -> DataFrame:
+    return df.select(*carry, *[_base(F.col(text), f.block).alias(f"_base_{f.block.name}") for f in fitted])
+
+
+def _in_stretches(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """(rows, their bases): as many rows at a time as hold ``FOUND`` bytes; a null base is empty."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for name in names:
+        base = batch.column(f"_base_{name}")
+        sizes = pc.multiply(pc.list_value_length(base), PER_TOKEN) if name == "word" else pc.binary_length(base)
+        total += pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
+    for start, stop in G.ranges(pa.array(total), FOUND):
+        part = batch.slice(start, stop - start)
+        bases = [part.column(f"_base_{name}") for name in names]
+        yield part, [b if n == "word" else [t or "" for t in b.to_pylist()] for n, b in zip(names, bases)]
 
-    Both counters give tf and the product tf * idf at the same places, from which the weights follow.
-    """
-    counted = _char_counter if f.block.name == "char" else _word_counter
-    out = counted(df, text, f)
-    weights = F.zip_with(
-        F.col("_c")["values"], F.col("_s")["values"],
-        lambda tf, x: F.when(tf > 0, (F.lit(1.0) + F.log(tf)) * x / tf).otherwise(F.lit(0.0)),
-    )
-    # a row that uses most of a short list comes back as a dense vector, which has no indices
-    dense = F.sequence(F.lit(0), F.size(F.col("_c")["values"]) - 1)
-    places = F.transform(F.coalesce(F.col("_c")["indices"], dense), lambda i: i + f.offset)
-    out = out.withColumns({"_at": places, "_weights": weights})
-    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda a, w: a + w * w))
-    out = out.withColumn("_norm", norm)
-    scaled = F.transform("_weights", lambda w: F.when(F.col("_norm") > 0, w / F.col("_norm")).otherwise(w))
-    return out.withColumn("_weights", scaled).drop("_c", "_s", "_norm")
-
-
-def _char_counter(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
-    kept = df.sparkSession.sparkContext.broadcast((G.Finder(f.terms), np.asarray(f.idf, np.float64)))
-
-    @F.pandas_udf("struct<indices: array<int>, counts: array<double>, scaled: array<double>>")
-    def found(column: pd.Series) -> pd.DataFrame:
-        finder, idf = kept.value
-        parts = {"indices": [], "counts": [], "scaled": []}
-        for texts in G.stretches(pa.array(column, pa.string(), from_pandas=True)):
-            of, term, uses = finder.counts(texts)
-            cuts = np.cumsum(np.bincount(of, minlength=len(texts)))[:-1]
-            tf = uses.astype(np.float64)
-            for name, values in zip(parts, (term.astype(np.int32), tf, tf * idf[term])):
-                parts[name] += np.split(values, cuts)
-        return pd.DataFrame({name: pd.Series(lists, dtype=object) for name, lists in parts.items()})
-
-    # worked out once, though read more often
-    out = df.withColumn("_found", found.asNondeterministic()(_spaced(F.col(text))))
-    c = F.struct(F.col("_found.indices").alias("indices"), F.col("_found.counts").alias("values"))
-    return out.withColumns({"_c": c, "_s": F.struct(F.col("_found.scaled").alias("values"))}).drop("_found")
-
-
-def _word_counter(df: DataFrame, text: str, f: FittedBlock) -> DataFrame:
-    out = with_terms(df, text, f.block, "_terms")
-    out = _counter(df.sparkSession, f, "_terms").transform(out)
-    idf = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_counts", outputCol="_scaled")
-    out = idf.transform(out).withColumns({"_c": F.unwrap_udt("_counts"), "_s": F.unwrap_udt("_scaled")})
-    return out.drop("_terms", "_counts", "_scaled")
+
+def _weighed(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[str]) -> DataFrame:
+    """``carry`` and of each block ``_at`` and ``_w``: places and weights (1 + ln tf) * idf of a row's fitted terms, scaled to length 1."""
+    names = [f.block.name for f in fitted]
+    kept = df.sparkSession.sparkContext.broadcast([(_finder(f), np.asarray(f.idf, np.float64)) for f in fitted])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, bases in _in_stretches(batch, names):
+                columns = [part.column(c) for c in carry]
+                for (finder, idf), base in zip(kept.value, bases):
+                    of, term, uses = finder.counts(base)
+                    cuts = pa.array(packed.cuts_of(of, part.num_rows), pa.int32())
+                    tf = uses.astype(np.float64)
+                    lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (term.astype(np.int32), tf, tf * idf[term])]
+                    columns.append(pa.StructArray.from_arrays(lists, ["indices", "counts", "scaled"]))
+                yield pa.RecordBatch.from_arrays(columns, names=[*carry, *[f"_found_{n}" for n in names]])
+
+    bases = _bases(df, text, fitted, carry)
+    found = T.StructType.fromDDL("indices array<int>, counts array<double>, scaled array<double>")
+    schema = T.StructType([*[bases.schema[c] for c in carry], *[T.StructField(f"_found_{n}", found) for n in names]])
+    out = bases.mapInArrow(run, schema)
+    for f in fitted:
+        n, c = f.block.name, F.col(f"_found_{f.block.name}")
+        weights = F.zip_with(c["counts"], c["scaled"], lambda tf, x: (F.lit(1.0) + F.log(tf)) * x / tf)
+        out = out.withColumns({f"_at_{n}": F.transform(c["indices"], lambda i: i + f.offset), f"_w_{n}": weights})
+        out = out.withColumn("_norm", F.sqrt(F.aggregate(f"_w_{n}", F.lit(0.0), lambda a, w: a + w * w)))
+        scaled = F.transform(f"_w_{n}", lambda w: F.when(F.col("_norm") > 0, w / F.col("_norm")).otherwise(w))
+        out = out.withColumn(f"_w_{n}", scaled).drop(f"_found_{n}", "_norm")
+    return out
 
 
 def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[str]) -> DataFrame:
@@ -230,10 +235,7 @@ def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[
     A vector is stored as a struct, so structs of SQL expressions are written and read back as
     vectors.  That also is the one place where the text work happens, however often the vectors are read.
     """
-    out = df.select(*carry, F.col(text).alias("_text"))
-    for f in fitted:
-        out = _weighed(out, "_text", f)
-        out = out.withColumnsRenamed({"_at": f"_at_{f.block.name}", "_weights": f"_w_{f.block.name}"})
+    out = _weighed(df, text, fitted, carry)
     places = F.concat(*[F.col(f"_at_{f.block.name}") for f in fitted])
     weights = F.concat(*[F.col(f"_w_{f.block.name}") for f in fitted])
     size = sum(f.size for f in fitted)
@@ -245,16 +247,72 @@ def as_vectors(df: DataFrame, text: str, fitted: list[FittedBlock], carry: list[
     return materialize(rows, "vectors", T.StructType([*kept, T.StructField("features", VectorUDT())]))
 
 
-def _counter(spark, fitted: FittedBlock, column: str) -> CountVectorizerModel:
-    """Counts of the fitted terms.  The list goes over as one text; term by term takes many seconds."""
-    letters = set().union(*fitted.terms)
-    mark = next(chr(c) for c in range(0xE000, 0xF900) if chr(c) not in letters)
-    pattern = spark.sparkContext._gateway.jvm.java.util.regex.Pattern
-    terms = pattern.compile(mark).split(mark.join(fitted.terms))
-    model = CountVectorizerModel._create_from_java_class(
-        "org.apache.spark.ml.feature.CountVectorizerModel", terms
-    )
-    return model.setInputCol(column).setOutputCol("_counts")
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray]  # cuts, index, uses
+
+
+def _rows_of(finders: list, bases: list, n: int) -> list[Rows]:
+    """Of each block, where the terms of n rows are cut, their numbers and uses."""
+    found = [(offset, finder.counts(base)) for (finder, offset), base in zip(finders, bases)]
+    return [(packed.cuts_of(of, n), term + offset, uses) for offset, (of, term, uses) in found]
+
+
+def _together(rows: list[Rows]) -> Rows:
+    """One after another."""
+    cuts, index, uses = zip(*rows)
+    starts = np.cumsum([0, *[c[-1] for c in cuts]])
+    return np.concatenate([[0], *[c[1:] + start for c, start in zip(cuts, starts)]]), np.concatenate(index), np.concatenate(uses)
+
+
+def as_packed(df: DataFrame, text: str, fitted: list[FittedBlock], label: Column) -> packed.Packed:
+    """Labelled rows as packed blocks of what the weights are made of, written once: every pass of a fit reads them."""
+    names = [f.block.name for f in fitted]
+    kept = df.sparkSession.sparkContext.broadcast([(_finder(f), f.offset) for f in fitted])
+    idf = np.concatenate([np.asarray(f.idf, np.float64) for f in fitted])
+    weights = df.sparkSession.sparkContext.broadcast(idf)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, rows, held = [], [], 0
+
+        def block() -> pa.RecordBatch:
+            # all rows of the first block of terms, then all of the next
+            return packed.encoded(np.concatenate(labels), *_together([r for each in zip(*rows) for r in each]), weights.value)
+
+        for batch in batches:
+            for part, bases in _in_stretches(batch, names):
+                labels.append(part.column("_label").to_numpy(zero_copy_only=False))
+                rows.append(_rows_of(kept.value, bases, part.num_rows))
+                held += sum(len(index) for _, index, _ in rows[-1])
+                if held >= packed.FULL:
+                    yield block()
+                    labels, rows, held = [], [], 0
+        if rows:
+            yield block()
+
+    bases = _bases(df, text, fitted, [label.cast("double").alias("_label")])
+    return packed.Packed(materialize(bases.mapInArrow(run, packed.SCHEMA), "packed", options=packed.STORED), idf)
+
+
+def margins(
+    df: DataFrame, text: str, fitted: list[FittedBlock], coefficients: np.ndarray, intercepts: np.ndarray, keep: list[str]
+) -> DataFrame:
+    """(keep, _margins): the margins of a linear model for every row, without vectors in between."""
+    names = [f.block.name for f in fitted]
+    context = df.sparkSession.sparkContext
+    kept = context.broadcast([(_finder(f), f.offset) for f in fitted])
+    idf = np.concatenate([np.asarray(f.idf, np.float64) for f in fitted])
+    model = context.broadcast((idf, np.ascontiguousarray(coefficients.T), intercepts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, weights, intercepts = model.value
+        for batch in batches:
+            for part, bases in _in_stretches(batch, names):
+                found = packed.margins(*_together(_rows_of(kept.value, bases, part.num_rows)), idf, weights, intercepts, part.num_rows)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], lists], names=[*keep, "_margins"])
+
+    bases = _bases(df, text, fitted, keep)
+    schema = T.StructType([*[bases.schema[c] for c in keep], T.StructField("_margins", T.ArrayType(T.DoubleType()))])
+    return bases.mapInArrow(run, schema)
 
 
 def term_weights(
@@ -263,8 +321,8 @@ def term_weights(
     """(row_id, *keep, block, term, weight): the non-zero weights of every row, as a long table."""
     long = None
     for f in fitted:
-        rows = _weighed(df.select(row_id, *keep, F.col(text).alias("_text")), "_text", f)
-        pairs = F.arrays_zip(F.col("_at").alias("index"), F.col("_weights").alias("weight"))
+        rows = _weighed(df, text, [f], [row_id, *keep])
+        pairs = F.arrays_zip(F.col(f"_at_{f.block.name}").alias("index"), F.col(f"_w_{f.block.name}").alias("weight"))
         one = rows.select(row_id, *keep, F.explode(pairs).alias("e")).select(row_id, *keep, "e.*").filter("weight != 0")
         # at most max_terms entries
         one = one.join(F.broadcast(f.table(df.sparkSession)), "index").select(row_id, *keep, "block", "term", "weight")

@@ -7,12 +7,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stylograph.functions import patterns as P
 from stylograph.functions.hashing import seeded_digest
-from stylograph.operators import clean, compare, curate, evaluate, grams, runs, skew, tfidf, tokens
+from stylograph.operators import clean, compare, curate, evaluate, grams, packed, runs, skew, tfidf, tokens
 from stylograph.operators.quantiles import quantiles_of_counts, quantiles_of_wide
 from stylograph.sources import tables
 
@@ -274,3 +275,53 @@ def test_char_counts_send_a_stretch_once(spark):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Generate" not in plan
     assert {(r.df, r.total) for r in counted.filter("length(term) = 5").collect()} == {(2000, 2000)}
+
+
+def test_word_grams_are_counted_and_found_in_arrays():
+    """As lists of tokens: words were told apart in the JVM, a row for every use."""
+    lists = [["a", "b", "a", "b"], [], None, ["🚀"], ["b", "a"], ["c", "a", "b"]]
+    held = [Counter(" ".join(t[i : i + n]) for n in (1, 2) for i in range(len(t) - n + 1)) for t in (x or [] for x in lists)]
+    rows, uses = Counter(g for c in held for g in c), sum(held, Counter())
+    tokens = pa.array(lists, pa.list_(pa.string()))
+    counted = grams.count_words(tokens, (1, 2))
+    got = {g: (a, b) for terms, *some in counted for g, a, b in zip(terms.to_pylist(), *(x.tolist() for x in some))}
+    assert got == {g: (rows[g], uses[g]) for g in uses}
+    terms = sorted(uses)[::2]
+    found = zip(*(x.tolist() for x in grams.WordFinder(terms).counts(tokens)))
+    assert list(found) == [(i, k, c[t]) for i, c in enumerate(held) for k, t in enumerate(terms) if c[t]]
+
+
+def test_found_terms_go_on_stretch_by_stretch(monkeypatch):
+    """What is found in a batch of rows came back as one batch, however much it was."""
+    monkeypatch.setattr(tfidf, "FOUND", 40)
+    texts = ["x" * 25, None, "y" * 25, "", "z" * 100, "a"]
+    columns = {"_base_char": pa.array(texts), "_base_word": pa.array([[t] if t else None for t in texts], pa.list_(pa.string()))}
+    parts = list(tfidf._in_stretches(pa.record_batch(columns), ["word", "char"]))
+    assert [part.num_rows for part, _ in parts] == [3, 2, 1]
+    assert [t for _, (_, chars) in parts for t in chars] == [t or "" for t in texts]
+
+
+def test_blocks_are_written_and_read_as_they_are():
+    rng = np.random.default_rng(1)
+    for most in (3, 70_000):
+        dense = rng.integers(0, 2, (6, 9)) * rng.integers(1, most, (6, 9))
+        segment, index = np.nonzero(dense)
+        cuts, uses, idf = packed.cuts_of(segment, 6), dense[segment, index], rng.random(9) + 1
+        (block,) = packed.decoded(packed.encoded(np.array([0.0, 2.0, 1.0]), cuts, index, uses, idf))
+        assert (block["index"] == index).all() and (block["uses"] == uses).all() and (block["cuts"] == cuts).all()
+        terms = np.repeat(block["terms"], np.diff(block["starts"], append=len(index)))
+        again = np.zeros_like(dense)
+        again[block["segments"], terms] = block["uses_by_term"]
+        assert (again == dense).all()
+        values = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * idf
+        values /= np.maximum(np.linalg.norm(values, axis=1), 1e-9)[:, None]
+        weights, intercepts = rng.standard_normal((9, 4)), rng.standard_normal(4)
+        want = intercepts + (values @ weights)[:3] + (values @ weights)[3:]
+        assert np.allclose(packed.margins(cuts, index, uses, idf, weights, intercepts, 3), want)
+        sums = packed._Sums(9, 4, True)
+        sums.add(block, (idf[:, None] * weights).astype(np.float32), intercepts)
+        shares = np.exp(want) / np.exp(want).sum(axis=1)[:, None]
+        off = shares - np.eye(4)[[0, 2, 1]]
+        assert np.allclose(sums.terms * idf[:, None], values[:3].T @ off + values[3:].T @ off, atol=1e-5)
+        assert np.isclose(sums.loss, -np.log(shares[[0, 1, 2], [0, 2, 1]]).sum(), atol=1e-5) and np.allclose(sums.intercepts, off.sum(axis=0), atol=1e-5)
+        assert np.allclose(sums.squares * idf**2, (values**2).sum(axis=0), atol=1e-5)
