@@ -3,10 +3,11 @@
 import hashlib
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stylograph.operators import evaluate, explain, learn
+from stylograph.operators import certify, evaluate, explain, learn
 from stylograph.operators.tfidf import Block
 from stylograph.functions.style import style_features
 from stylograph.plans import experiments as E
@@ -157,3 +158,27 @@ def test_permutation_importance(grid, processed):
     got = {r.feature: r.importance for r in explain.permutation_importance(clf, rows, "row_id", repeats=2).collect()}
     assert len(got) == 27 and max(got.values()) > 0.1
     assert got["latex"] == 0 and got["code_fences"] == 0  # the same value in every row
+
+
+def test_many_rows_are_fitted_on_packed_blocks(spark, processed, monkeypatch):
+    """The same optimum as in the span of the rows, without Spark ML's optimizer, also where sums come in slices and a class is missing."""
+    train, _, test = E.split_parts(processed)
+    data = learn.prepare_linear_text(train, LABELS, blocks=SETTINGS.blocks)
+    span = learn.fit_linear(data)
+    monkeypatch.setattr(learn.wide, "MOST_ROWS", 0)
+    monkeypatch.setattr(learn.LogisticRegression, "fit", lambda *a: pytest.fail("rows of vectors are read in every step"))
+    clf = learn.fit_linear(data)
+    monkeypatch.setattr(learn.packed, "SUMMED", 0)
+    sliced = learn.fit_linear(data)
+    for told in (clf, sliced):
+        assert all(r.gradient < 0.02 * r.at_start for r in certify.gradient(told, data).collect())
+    assert np.allclose(clf.model.weights, sliced.model.weights, atol=1e-3)
+    a, b = ({r.row_id: r.pred for r in learn.score(c, {"test": test}).collect()} for c in (span, clf))
+    assert sum(a[k] == b[k] for k in a) >= 0.95 * len(a)
+    vectors = {r.row_id: r.probs for r in learn.predict_batch(clf, clf.vectors(test, ["row_id"]), ["row_id"]).collect()}
+    assert all(r.probs == pytest.approx(vectors[r.row_id]) for r in learn.score(clf, {"test": test}).collect())
+    two = learn.prepare_linear_text(train.filter("family <> 'Qwen'"), LABELS, blocks=SETTINGS.blocks)
+    assert learn.fit_linear(two).model.weights.shape[0] == 2
+    unknown = learn.prepare_linear_text(train.withColumn("family", F.lit(None).cast("string")), LABELS, blocks=SETTINGS.blocks)
+    with pytest.raises(ValueError, match="null"):
+        learn.fit_linear(unknown)
