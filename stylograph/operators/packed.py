@@ -66,9 +66,11 @@ def margins(
     cuts: np.ndarray, index: np.ndarray, uses: np.ndarray, idf: np.ndarray, weights: np.ndarray, intercepts: np.ndarray, rows: int
 ) -> np.ndarray:
     """Rows x classes; the segments are those of the first part of all rows, then of the next."""
-    values = _damped(uses) * idf[index]
-    products = _along(cuts, index, values, weights) / _norms(cuts, values)[:, None]
-    return intercepts + products.reshape(-1, rows, len(intercepts)).sum(axis=0)
+    values = _damped(uses) * (uses * idf[index]) / uses
+    values /= np.repeat(_norms(cuts, values), np.diff(cuts))
+    of = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)) % rows
+    order = np.argsort(of, kind="stable")
+    return intercepts + _along(cuts_of(of, rows), index[order], values[order], weights)
 
 
 def _along(cuts: np.ndarray, index: np.ndarray, values: np.ndarray, weights: np.ndarray) -> np.ndarray:
